@@ -6,7 +6,7 @@ metrics map<string,double>, tags map<string,string>``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,21 @@ def best_run(runs: DataFrame, metric: str) -> DataFrame:
     return top.filter("r IS NOT NULL").select(F.lit(metric).alias("metric"), "r.run_id", "r.run_name", "r.value")
 
 
+def with_best_tags(runs: DataFrame, tags: Mapping[str, str]) -> DataFrame:
+    """Add ``{tag: 'true'}`` to the winner of each metric (``{tag: metric}``).
+
+    The table itself is append-only; tags are derived when it is read. Each winner is a
+    single-value subquery, not a join.
+    """
+    tagged = F.coalesce("tags", F.create_map().cast("map<string,string>"))
+    for tag, metric in tags.items():
+        winner = best_run(runs, metric).select("run_id").scalar()
+        mark = F.create_map(F.lit(tag), F.lit("true"))
+        won = F.coalesce(F.col("run_id") == winner, F.lit(False))
+        tagged = F.when(won, F.map_concat(tagged, mark)).otherwise(tagged)
+    return runs.withColumn("tags", tagged)
+
+
 def run_history(
     runs: DataFrame, metrics: Sequence[str], experiment: str | None = None, missing: float | None = 0.0
 ) -> DataFrame:

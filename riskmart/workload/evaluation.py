@@ -135,6 +135,22 @@ def best_run(t):
     return runs.best_run(table, "valid_f1_score").unionByName(runs.best_run(table, "valid_accuracy"))
 
 
+@query(
+    "best_tags",
+    f"""WITH r AS ({RUNS_SQL})
+        SELECT run_id, coalesce(run_id = (SELECT run_id FROM r WHERE valid_f1_score IS NOT NULL
+                                          ORDER BY valid_f1_score DESC, run_id DESC LIMIT 1), false) AS best_f1,
+               coalesce(run_id = (SELECT run_id FROM r WHERE valid_accuracy IS NOT NULL
+                                  ORDER BY valid_accuracy DESC, run_id DESC LIMIT 1), false) AS best_accuracy FROM r""",
+)
+def best_tags(t):
+    table = run_table(t).withColumn("tags", F.lit(None).cast("map<string,string>"))
+    tagged = runs.with_best_tags(table, {"best_f1": "valid_f1_score", "best_accuracy": "valid_accuracy"})
+    return tagged.select(
+        "run_id", *[F.coalesce(F.col("tags")[n] == "true", F.lit(False)).alias(n) for n in ("best_f1", "best_accuracy")]
+    )
+
+
 @query(
     "run_history",
     f"""WITH r AS ({RUNS_SQL})

@@ -1,0 +1,259 @@
+from __future__ import annotations
+
+import math
+from datetime import date, datetime
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import rows
+from riskmart.functions import cleaning as c
+from riskmart.functions import numeric
+from riskmart.operators import columns, dedupe, features, membership, profile, split
+
+
+def column(spark, values, fn, dtype="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
+    return [r[0] for r in df.orderBy("i").select(fn(F.col("v"))).collect()]
+
+
+def test_parse_date(spark):
+    got = column(
+        spark,
+        ["01/02/2024", "2024-01-02", "2024-01-02T03:04:05", "2024-01-02 03:04:05", "2024", "1/2/2024", "13/02/2024",
+         "", "junk", None, "2024-01-02 03:04:05 Europe/Paris", "2024-02-30"],
+        c.parse_date,
+    )
+    day = datetime(2024, 1, 2)
+    assert got == [
+        datetime(2024, 1, 2), day, datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 1),
+        None, None, None, None, None, datetime(2024, 1, 2, 2, 4, 5), None,
+    ]
+
+
+def test_parse_date_is_the_four_step_rule(spark):
+    """The short form equals trying all four formats in order."""
+    shapes = ["01/02/2024", "2024-01-02", "2024-01-02T03:04:05", "2024-1-2", " 2024-01-02 ", "02/30/2024", "2024-01",
+              "12/31/1999", "1999-12-31T23:59:59", "31/12/1999", "20240102", "2024-01-02T03:04", "x/y/z"]
+    formats = ("MM/dd/yyyy", "yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss")
+
+    def long_form(v):
+        return F.coalesce(*[F.try_to_timestamp(v, F.lit(f)) for f in formats], F.try_to_timestamp(v))
+
+    assert column(spark, shapes, c.parse_date) == column(spark, shapes, long_form)
+
+
+def test_date_columns_keep_other_types(spark):
+    df = spark.createDataFrame(
+        [("01/02/2024", date(2024, 1, 2), datetime(2024, 1, 2), 5, ("x",), "01/02/2024")],
+        "startdate string, day_date date, ts_date timestamp, date_code int, date_struct struct<a:string>, other string",
+    )
+    row = columns.parse_date_columns(df).first()
+    assert row["startdate"] == row["day_date"] == row["ts_date"] == datetime(2024, 1, 2)
+    assert (row["date_code"], row["date_struct"]["a"], row["other"]) == (5, "x", "01/02/2024")
+
+
+def test_try_double(spark):
+    got = column(spark, ["12.5", "1e3", " 7 ", "1,000", "abc", "", None], c.try_double)
+    assert got == [12.5, 1000.0, 7.0, None, None, None, None]
+
+
+def test_ids(spark):
+    raw = ["123.0", "123", "0123", "1.05", None, "000", "A01", "00-1"]
+    assert column(spark, raw, c.clean_id) == ["123", "123", "0123", "1.05", None, "000", "A01", "00-1"]
+    assert column(spark, raw, c.reconcile_key) == ["123", "123", "123", "1.05", None, "0", "A01", "00-1"]
+    assert column(spark, [12.0, 7.5], c.clean_id, "double") == ["12", "7.5"]
+
+
+def test_bool_tokens(spark):
+    yes, no = ["True", "true", "1", "yes"], ["False", "false", "0", "no", "", "None", "NULL", "null"]
+    got = column(spark, [*yes, *no, "maybe", "TRUE", None], c.bool_token)
+    assert got == [True] * 4 + [False] * 8 + [None] * 3
+    assert column(spark, [True, False, None], c.bool_token, "boolean") == [True, False, None]
+
+
+def test_null_tokens(spark):
+    got = column(spark, ["", "   ", "NULL", " null ", "None", " Gender ", None, "nil"], c.null_token)
+    assert got == [None, None, None, None, None, " Gender ", None, "nil"]
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame(
+        [(math.nan, 1, [math.nan]), (None, 2, []), (0.0, 3, None), (math.inf, 4, None)], "x double, i int, a array<double>"
+    )
+    got = columns.nan_to_null(df).orderBy("i").collect()
+    assert [r["x"] for r in got] == [None, None, 0.0, math.inf]
+    assert math.isnan(got[0]["a"][0])
+
+
+@pytest.mark.parametrize(
+    "raw, expected",
+    [(" Award ID ", "award_id"), ("Award-ID", "award_id"), ("é%x", "é_x"), ("__a__b__", "a_b"), ("ABC", "abc"), ("a.b", "a_b")],
+)
+def test_canonical_name(raw, expected):
+    assert columns.canonical_name(raw) == expected
+
+
+def test_canonical_names_clash():
+    assert columns.canonical_names(["a b", "a-b", "a_b_2", "%%", "A B"]) == ["a_b", "a_b_3", "a_b_2", "column_4", "a_b_4"]
+
+
+@given(st.lists(st.text(max_size=6), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_canonical_names_are_unique_and_stable(names):
+    once = columns.canonical_names(names)
+    assert len(set(once)) == len(once) == len(names)
+    assert columns.canonical_names(once) == once
+
+
+def test_rename_and_project(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "` ID ` int, `a b` int, `a-b` int")
+    named = columns.with_canonical_names(df, {"id": "award_id"})
+    assert named.columns == ["award_id", "a_b", "a_b_2"]
+    assert columns.select_existing(named, ["zzz", "a_b_2", "award_id"]).columns == ["a_b_2", "award_id"]
+    assert columns.columns_like(named, "award") == ["award_id"]
+
+
+def test_year_range(spark):
+    df = spark.createDataFrame([(datetime(y, 6, 1),) for y in (1999, 2000, 2001, 2002)], "d timestamp")
+    assert rows(columns.year_range(df, "d", 2000, 2001).select("year")) == [(2000,), (2001,)]
+    with pytest.raises(ValueError):
+        columns.year_range(df, "d", 2001, 2000)
+
+
+def test_stamp_is_the_callers(spark):
+    ts = datetime(2024, 5, 6)
+    assert columns.stamp(spark.range(1), ts).first()["formatted_at"] == ts
+
+
+def test_dedupe_latest(spark):
+    df = spark.createDataFrame(
+        [("a", 2022, "x"), ("a", 2023, "y"), ("b", 2022, "p"), ("b", 2022, "p"), (None, 1, "n"), (None, 2, "m"), ("c", None, "z")],
+        "k string, year int, v string",
+    )
+    expected = sorted([("a", 2023, "y"), ("b", 2022, "p"), (None, 2, "m"), ("c", None, "z")], key=repr)
+    for parts in (1, 2, 7):
+        assert rows(dedupe.dedupe_latest(df.repartition(parts), ["k"], ["year"])) == expected
+    assert rows(dedupe.dedupe_report(df, ["k"])) == [(7, 4, 3)]
+    assert rows(dedupe.dedupe_report(df.filter("false"), ["k"])) == [(0, 0, 0)]
+
+
+def test_dedupe_tie_is_stable(spark):
+    df = spark.createDataFrame([("a", 1, v) for v in "pqrstu"], "k string, year int, v string")
+    kept = {dedupe.dedupe_latest(df.repartition(n, "v"), ["k"], ["year"]).first()["v"] for n in (1, 2, 3, 5)}
+    assert len(kept) == 1
+
+
+def test_rejects(spark):
+    df = spark.createDataFrame([(1, "a"), (-1, "a"), (None, "a"), (5, None)], "n int, s string")
+    rules = {"negative": F.col("n") >= 0, "no_name": F.col("s").isNotNull()}
+    good, bad = dedupe.split_rejects(df, rules)
+    assert rows(good) == [(1, "a")]
+    assert bad.count() == 3
+    assert rows(dedupe.reject_counts(df, rules)) == [("accepted", 1), ("negative", 2), ("no_name", 1)]
+
+
+def test_union_fills_missing(spark):
+    a, b = spark.createDataFrame([(1, "x")], "i int, s string"), spark.createDataFrame([(2.5, 7)], "d double, i int")
+    assert rows(dedupe.union_all([a, b]), "i", "s", "d") == sorted([(1, "x", None), (7, None, 2.5)], key=repr)
+
+
+def test_membership(spark):
+    fact = spark.createDataFrame([("123",), ("7",), (None,), ("0123",)], "award_id string")
+    listed = spark.createDataFrame([("0123",), ("123.0",), (None,), ("9",)], "k string")
+    got = membership.membership_flag(fact, listed, "award_id", "k", "hit")
+    assert rows(got) == sorted([("123", True), ("7", False), (None, False), ("0123", True)], key=repr)
+
+
+def test_membership_with_a_hot_key_and_no_broadcast(spark):
+    """A third of the fact on one key, and a list too big to broadcast."""
+    fact = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("string").alias("award_id"))
+    listed = spark.range(0, 1500).select(F.col("id").cast("string").alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = membership.membership_flag(fact, listed, "award_id", "k", "hit").groupBy("hit").count()
+        assert dict(rows(got)) == {True: 1000 + 1000, False: 1000}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+
+
+def test_split_ignores_partitioning(spark):
+    df = spark.range(2000).select(F.col("id").alias("k"))
+    seen = {tuple(rows(split.hash_split(df.repartition(n), "k"))) for n in (1, 2, 7)}
+    assert len(seen) == 1
+    parts = [r[1] for r in next(iter(seen))]
+    assert set(parts) == {"train", "test"} and 0.77 < parts.count("train") / 2000 < 0.83
+    other = rows(split.hash_split(df, "k", seed=43))
+    assert other != list(next(iter(seen)))
+    inner = rows(split.hash_split(df, "k", level="inner"))
+    assert inner != list(next(iter(seen)))
+    with pytest.raises(ValueError):
+        split.hash_split(df, "k", 1.5)
+
+
+def test_folds_cover_all(spark):
+    got = split.hash_folds(spark.range(3000), "id", 3).groupBy("fold").count().collect()
+    assert {r["fold"] for r in got} == {0, 1, 2} and min(r["count"] for r in got) > 900
+
+
+def test_funding_and_log_features(spark):
+    df = spark.createDataFrame(
+        [(1, 50.0, 99.0), (2, 1.0, -1.0), (3, 0.0, 0.0), (4, -5.0, None)],
+        "i int, funds_obligated_amt double, estimated_total_amt double",
+    )
+    got = features.log_features(features.funding_features(df)).orderBy("i").collect()
+    assert got[0]["funding_ratio"] == 0.5 and got[0]["funding_efficiency"] == 50.0 and got[0]["funding_difference"] == 49.0
+    assert got[1]["funding_ratio"] is None and got[1]["log_estimated_total"] is None
+    assert got[2]["log_funds_obligated"] == 0.0
+    assert got[3]["funding_difference"] is None and got[3]["log_funds_obligated"] is None
+    assert features.funding_features(df.select("i")).columns == ["i"]
+
+
+def test_complete_cases_and_columns(spark):
+    df = spark.createDataFrame(
+        [(1.0, 1, "a", True), (None, 1, "b", True), (math.nan, 1, "c", False), (math.inf, 1, None, None)],
+        "x double, y int, s string, b boolean",
+    )
+    assert features.numeric_columns(df) == ["x", "y"]
+    assert features.feature_columns(df, "y") == ["x"]
+    assert [r["s"] for r in features.complete_cases(df).collect()] == ["a", None]
+    assert [r["b"] for r in features.bool_to_int(df, ["b"]).orderBy("s").collect()] == [0, 1, 1, 0]
+    groups = features.feature_groups(["flagged_word_ratio_abstract", "log_x", "year"])
+    assert groups == {"flagged": ["flagged_word_ratio_abstract"], "engineered": ["flagged_word_ratio_abstract", "log_x"]}
+
+
+def test_class_weights(spark):
+    df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "y int")
+    weighted = features.class_weights(df, "y")
+    assert dict(rows(weighted.distinct())) == {0: 8 / 12, 1: 2.0}
+    assert weighted.agg(F.sum("sample_weight")).first()[0] == pytest.approx(8)
+    one_sided = features.class_weights(spark.createDataFrame([(0,), (0,), (None,), (2,)], "y int"), "y")
+    assert rows(one_sided.distinct()) == sorted([(0, 1.0), (None, 1.0), (2, 1.0)], key=repr)
+
+
+def test_class_distribution(spark):
+    df = spark.createDataFrame([(0,)] * 2 + [(1,)], "y int")
+    assert rows(features.class_distribution(df, "y")) == [(0, 2, 66.67), (1, 1, 33.33)]
+
+
+def test_ratio_helpers(spark):
+    df = spark.createDataFrame([(1, 0), (1, 4), (None, 4)], "a int, b int")
+    got = df.select(numeric.ratio_or_zero(F.col("a"), F.col("b")), numeric.ratio_or_null(F.col("a"), F.col("b"))).collect()
+    assert [tuple(r) for r in got] == [(0.0, None), (0.25, 0.25), (0.0, None)]
+
+
+def test_profile(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 1.0, True, ["x"], None, ("q",), date(2024, 1, 1), [("s",)])],
+        "s string, i int, d double, b boolean, a array<string>, n string, st struct<q:string>, dt date, l array<struct<f:string>>",
+    )
+    got = {r["column_name"]: (r["logical_type"], r["n_filled"]) for r in profile.column_profile(df).collect()}
+    assert got == {
+        "s": ("string", 1), "i": ("int", 1), "d": ("float", 1), "b": ("bool", 1), "a": ("list[string]", 1),
+        "n": ("empty / null", 0), "st": ("dict", 1), "dt": ("date", 1), "l": ("list[dict]", 1),
+    }
+    assert profile.first_fields(df, 2) == ["s", "i"]
+    zone = {r["dataset"]: (r["n_rows"], r["n_columns"]) for r in profile.zone_validation({"p": df, "q": df.union(df)}).collect()}
+    assert zone == {"p": (1, 9), "q": (2, 9), "TOTAL": (3, 18)}
