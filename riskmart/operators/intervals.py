@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.functions.cleaning import DEFAULT_LABEL, parse_date, text_or_default
+from riskmart.operators.joins import BROADCAST_ROWS
 
 _LEVEL_BITS = 2  # a cell holds four cells of the level below
 _TOP_LEVEL = {"day": 6, "microsecond": 24}  # the widest cells span 5.6 and 8.9 years
@@ -52,13 +53,18 @@ def _tick(c: Column, granularity: str) -> Column:
 
 
 def _bound_tick(c: Column, granularity: str) -> Column:
-    """Tick of an interval bound; a bound finer than the granularity is an error, not a rounding."""
-    tick = _tick(c, granularity)
+    """Tick of a non-null interval bound; one finer than the granularity is an error, not a rounding.
+
+    The coalesce only states that the tick is never null: otherwise the planner infers null
+    filters from it and evaluates the whole expression again below every step.
+    """
     if granularity == "microsecond":
-        return tick
-    return F.when(tick % 2 == 0, tick).otherwise(
-        F.raise_error(F.lit("interval bound is not a midnight: use granularity='microsecond'")).cast("bigint")
-    )
+        tick = _tick(c, granularity)
+    else:
+        day = F.to_date(c)
+        message = F.lit("interval bound is not a midnight: use granularity='microsecond'")
+        tick = F.when(day == c, F.unix_date(day).cast("bigint") * 2).otherwise(F.raise_error(message).cast("bigint"))
+    return F.coalesce(tick, F.lit(0).cast("bigint"))
 
 
 def _ceil_shift(value: str, level: str) -> str:
@@ -90,29 +96,28 @@ def tile(df: DataFrame, low: str, high: str, top: int) -> DataFrame:
     return per_level.withColumn("cell", F.explode(cells)).drop("_from", "_to", "_left", "_right")
 
 
-def _winners(terms: DataFrame, kinds: Mapping[str, str], granularity: str, top: int) -> DataFrame:
-    """Per (state, level, cell) and kind, the winning term among those that cover the cell."""
-    bounds = terms.filter(F.col("type").isin(*kinds)).select(
+def _winners(
+    terms: DataFrame, kinds: Mapping[str, str], granularity: str, top: int, asked: DataFrame | None
+) -> DataFrame:
+    """Per (state, level, cell) and kind, the winning term among those that cover the cell.
+
+    ``asked``, if given, holds the few cells that any date looks into: the others are dropped
+    before the shuffle.
+    """
+    dated = terms.filter(F.col("type").isin(*kinds)).dropna(subset=["state", "start", "end"])
+    bounds = dated.select(
         F.col("state").alias("_state"),
         "type",
         _bound_tick(F.col("start"), granularity).alias("_start"),
         _bound_tick(F.col("end"), granularity).alias("_end"),
         "party",
     )
-    # Same state, type and start: the longest covers whatever the others cover, and ties on the
-    # start are decided by (end, party) anyway. This bounds a busy state by its distinct starts.
-    longest = (
-        bounds.filter("_start <= _end")
-        .groupBy("_state", "type", "_start")
-        .agg(F.max(F.struct("_end", "party")).alias("_best"))
-        .select("_state", "type", "_start", "_best._end", "_best.party")
-        .withColumn("_stop", F.col("_end") + 1)
-    )
     term = F.struct("_start", "_end", "party")
-    return (
-        tile(longest, "_start", "_stop", top)
-        .groupBy("_state", "level", "cell")
-        .agg(*[F.max(F.when(F.col("type") == k, term)).alias(out) for k, out in kinds.items()])
+    cells = tile(bounds.withColumn("_stop", F.col("_end") + 1), "_start", "_stop", top)
+    if asked is not None:
+        cells = cells.join(F.broadcast(asked), ["_state", "level", "cell"], "left_semi")
+    return cells.groupBy("_state", "level", "cell").agg(
+        *[F.max(F.when(F.col("type") == k, term)).alias(out) for k, out in kinds.items()]
     )
 
 
@@ -124,7 +129,7 @@ def interval_lookup(
     kinds: Mapping[str, str],
     default: str = DEFAULT_LABEL,
     granularity: str = "day",
-    broadcast_rows: int | None = 1_000_000,
+    broadcast_rows: int | None = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add, per ``{type: output column}``, the party of the latest term covering the fact's date.
 
@@ -133,23 +138,28 @@ def interval_lookup(
     of :func:`explode_terms`. ``granularity="day"`` needs midnight bounds (facts may carry any
     time of day) and fails loudly on others; ``"microsecond"`` takes any timestamp.
 
-    The answers are joined back by (state, tick). Their number is counted first (a scan of two
-    columns); up to ``broadcast_rows`` they are broadcast and the fact is not shuffled, beyond
-    that the join shuffles and adaptive execution splits hot pairs. ``None`` leaves the choice
-    to the planner without counting.
+    The distinct (state, tick) pairs are counted first (a scan of two columns). Up to
+    ``broadcast_rows`` the answers are broadcast and the fact is not shuffled, beyond that the
+    join back shuffles and adaptive execution splits hot pairs; and if all the cells they look
+    into stay below it too, those cells are broadcast to thin out the intervals early. ``None``
+    leaves every choice to the planner without counting.
     """
     top = _TOP_LEVEL[granularity]
     keyed = fact.withColumns({"_state": F.col(state), "_tick": _tick(F.col(date), granularity)})
-    probes = keyed.select("_state", "_tick").dropna().distinct()
+    pairs = keyed.select("_state", "_tick").dropna().distinct()
+    n_pairs = pairs.count() if broadcast_rows is not None else None
+    probes = pairs.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumn(
+        "cell", F.expr(_floor_shift("_tick", "level"))
+    )
+    few = n_pairs is not None and n_pairs * (top + 1) <= broadcast_rows
+    asked = probes.select("_state", "level", "cell").distinct() if few else None
     answers = (
-        probes.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top))))
-        .withColumn("cell", F.expr(_floor_shift("_tick", "level")))
-        .join(_winners(terms, kinds, granularity, top), ["_state", "level", "cell"])
+        probes.join(_winners(terms, kinds, granularity, top, asked), ["_state", "level", "cell"])
         .groupBy("_state", "_tick")
         .agg(*[F.max(out).alias(f"_{out}") for out in kinds.values()])
         .select("_state", "_tick", *[F.col(f"_{out}.party").alias(f"_{out}") for out in kinds.values()])
     )
-    if broadcast_rows is not None and probes.count() <= broadcast_rows:
+    if n_pairs is not None and n_pairs <= broadcast_rows:
         answers = F.broadcast(answers)
     return (
         keyed.join(answers, ["_state", "_tick"], "left")

@@ -11,6 +11,7 @@ from riskmart.functions import text
 from riskmart.functions.cleaning import normalize_word
 from riskmart.functions.numeric import ratio_or_zero
 from riskmart.operators.dedupe import key_set
+from riskmart.operators.joins import BROADCAST_ROWS, lookup_join
 
 # The six text features of the wide table.
 FEATURES = (
@@ -86,13 +87,19 @@ def lexicon_features(
     return done.drop("_count_a", "_unique_a", "_total_a", "_count_t")
 
 
-def lexicon_hits(df: DataFrame, key: str, texts: Sequence[str], lexicon: DataFrame, word: str = "flagged_word") -> DataFrame:
+def lexicon_hits(
+    df: DataFrame,
+    key: str,
+    texts: Sequence[str],
+    lexicon: DataFrame,
+    word: str = "flagged_word",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Per key and text column, how often each lexicon word occurs; texts without a hit have no row.
 
-    The form for a word list of any size. Tokens are counted per text on the map side before
-    the join, so a word repeated in a text travels once; a word found in a third of all texts
-    is a hot join key, which the planner avoids by broadcasting a list below its threshold and
-    otherwise splits.
+    The form for a word list of any size: up to ``broadcast_rows`` words the tokens are filtered
+    and counted where they are read, and only counts of hits are shuffled; beyond that the
+    tokens are shuffled by word and salt, as the commonest words are hot keys in any language.
     """
     no_words = F.array().cast("array<string>")
 
@@ -100,13 +107,12 @@ def lexicon_hits(df: DataFrame, key: str, texts: Sequence[str], lexicon: DataFra
         part = F.lit(name).alias("part")
         return F.transform(F.coalesce(text.words(F.col(name)), no_words), lambda w: F.struct(part, w.alias("word")))
 
-    return (
-        df.select(F.col(key), F.explode(F.concat(*map(occurrences, texts))).alias("o"))
-        .select(key, "o.part", "o.word")
-        .join(normalize_lexicon(lexicon, word).withColumnRenamed(word, "word"), "word")
-        .groupBy(key, "part", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
+    tokens = df.select(F.col(key), F.explode(F.concat(*map(occurrences, texts))).alias("o")).select(
+        key, "o.part", "o.word"
     )
+    wanted = normalize_lexicon(lexicon, word).withColumnRenamed(word, "word")
+    found = lookup_join(tokens, wanted, ["word"], "left_semi", broadcast_rows)
+    return found.groupBy(key, "part", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def lexicon_features_by_join(
@@ -116,12 +122,13 @@ def lexicon_features_by_join(
     abstract: str = "abstract",
     title: str = "title",
     word: str = "flagged_word",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The same six features for a word list too long to inline; ``key`` must be unique."""
     present = [c for c in (abstract, title) if c in df.columns]
     in_abstract, in_title = F.col("part") == abstract, F.col("part") == title
     per_key = (
-        lexicon_hits(df, key, present, lexicon, word)
+        lexicon_hits(df, key, present, lexicon, word, broadcast_rows)
         .groupBy(key)
         .agg(
             F.sum(F.when(in_abstract, F.col("n"))).alias("_count_a"),
@@ -129,10 +136,12 @@ def lexicon_features_by_join(
             F.sum(F.when(in_title, F.col("n"))).alias("_count_t"),
         )
     )
-    joined = df.join(per_key, key, "left")
-    zero = {c: F.coalesce(c, F.lit(0)).cast("int") for c in ("_count_a", "_unique_a", "_count_t")}
+    # Counted before the join: the texts themselves need not travel with it.
     total = text.word_count(F.col(abstract)) if abstract in df.columns else F.lit(0)
-    filled = joined.withColumns(zero).withColumn("_total_a", total)
+    joined = df.withColumn("_total_a", total).join(per_key, key, "left")
+    filled = joined.withColumns(
+        {c: F.coalesce(c, F.lit(0)).cast("int") for c in ("_count_a", "_unique_a", "_count_t")}
+    )
     done = _finish(filled, F.col("_count_a"), F.col("_unique_a"), F.col("_total_a"), F.col("_count_t"))
     return done.drop("_count_a", "_unique_a", "_total_a", "_count_t")
 

@@ -1,6 +1,6 @@
 """Binary classification metrics and exact curves over prediction tables.
 
-Predictions are a long frame: any grouping columns (model, split ...), ``label`` 0/1,
+Predictions are a long frame: any non-null grouping columns (model, split ...), ``label`` 0/1,
 ``prediction`` 0/1 and ``score`` (higher = more positive).
 """
 
@@ -59,12 +59,12 @@ def score_curve(df: DataFrame, by: Sequence[str] = (), buckets: int = 512) -> Da
         "score IS NOT NULL AND NOT isnan(score)"
     )
     bucketer = QuantileDiscretizer(
-        numBuckets=buckets, inputCol="score", outputCol="_bucket", relativeError=0.25 / buckets
+        numBuckets=buckets, inputCol="score", outputCol="_bucket", relativeError=0.5 / buckets
     ).fit(scored)
     groups = scored.groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
-    bucketed = bucketer.transform(groups)
+    bucketed = bucketer.transform(groups).withColumn("_bucket", F.col("_bucket").cast("int"))
     higher = Window.partitionBy(*by).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     offsets = (
@@ -82,7 +82,11 @@ def score_curve(df: DataFrame, by: Sequence[str] = (), buckets: int = 512) -> Da
     inside = (
         Window.partitionBy(*by, "_bucket").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
     )
-    return bucketed.join(offsets, [*by, "_bucket"]).select(
+    # Building the hash side from the few offsets keeps the scores partitioned by bucket, which
+    # is what the window below needs: the join and the window share one shuffle. Every bucket has
+    # its offset; the join is an outer one only so that no null filter is pushed below the
+    # grouping of one branch, which would keep the two branches from sharing its shuffle.
+    return bucketed.join(offsets.hint("shuffle_hash"), [*by, "_bucket"], "left").select(
         *by,
         "score",
         "pos",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.operators.joins import lookup_join
+
 DEFAULT_ROWS_PER_PAGE = 25
 
 
@@ -33,7 +35,8 @@ def download_prefix(
         F.min(F.when(ends, F.col(offset))).alias("_last"), F.min(offset).alias("_first")
     )
     usable = pages.filter(~F.col(failed) & (F.col(n_rows) > 0))
-    return usable.join(last.filter("_first = 0").drop("_first"), feed).filter(F.col(offset) <= F.col("_last")).drop("_last")
+    kept = lookup_join(usable, last.filter("_first = 0").drop("_first"), [feed], "inner")
+    return kept.filter(F.col(offset) <= F.col("_last")).drop("_last")
 
 
 def page_audit(

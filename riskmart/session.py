@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
-# Planner settings the operators rely on. Joins carry no size-blind broadcast hints: the
-# planner broadcasts a side only below this threshold and otherwise shuffles, and adaptive
-# execution splits the partitions that a hot key makes too big.
+# Planner settings the operators rely on: adaptive execution splits the partitions that a hot
+# key makes too big (even where that costs a later stage a shuffle), and a side is broadcast
+# without a count of its rows only below the threshold.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # A shuffled join whose every build partition turned out small is hashed instead of sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -31,15 +31,9 @@ def build_session(app: str = "riskmart", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; fall back to a local one only without it."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="riskmart-checkpoint-", dir=os.environ.get("TMPDIR")))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the planner settings to a session that somebody else created."""
+    for key, value in DEFAULTS.items():
+        if key != "spark.sql.session.timeZone":
+            spark.conf.set(key, value)
+    return spark

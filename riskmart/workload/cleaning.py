@@ -8,9 +8,7 @@ from riskmart.functions import cleaning as c
 from riskmart.functions.text import words
 from riskmart.operators import columns, dedupe, features, lexicon, profile, split
 from riskmart.workload.registry import query
-from riskmart.workload.standins import (
-    FUNDED_ORDERS_SQL, funded_orders,
-)
+from riskmart.workload.standins import FUNDED_ORDERS_SQL, documents, funded_orders
 
 
 @query(
@@ -373,7 +371,7 @@ def class_weights(t):
               ws[1] AS first_word, md5(array_to_string(ws, ' ')) AS digest FROM w""",
 )
 def tokenize(t):
-    tokens = t.documents.select("doc_id", words(F.col("text")).alias("w"))
+    tokens = documents(t).select("doc_id", words(F.col("text")).alias("w"))
     return tokens.select(
         "doc_id",
         F.size("w").alias("n_words"),

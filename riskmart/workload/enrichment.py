@@ -8,7 +8,7 @@ from riskmart.operators import columns, intervals, lexicon, membership, split
 from riskmart.workload.registry import query
 from riskmart.workload.standins import (
     DATED_ORDERS_SQL, TERMS_SQL, TITLED_DOCUMENTS_SQL, WORD_TABLE_SQL, WORDS, WORDS_SQL,
-    dated_orders, terms, titled_documents, word_table,
+    dated_orders, documents, terms, titled_documents, word_table,
 )
 
 
@@ -121,7 +121,7 @@ _PHRASES = ("of the", "in la", "de la", "and the", "to the in", "the")
         FROM w LEFT JOIN m USING (doc_id) GROUP BY w.doc_id""",
 )
 def lexicon_phrases(t):
-    made = lexicon.lexicon_features(t.documents.select("doc_id", "text"), _PHRASES, abstract="text", phrases=True)
+    made = lexicon.lexicon_features(documents(t), _PHRASES, abstract="text", phrases=True)
     return made.select("doc_id", F.col("flagged_word_count_abstract").alias("n_hits"))
 
 
@@ -140,7 +140,7 @@ def lexicon_coverage(t):
         SELECT doc_id, word, count(*) AS n FROM o WHERE word IN (FROM w) GROUP BY doc_id, word""",
 )
 def lexicon_semi_join(t):
-    return lexicon.lexicon_hits(t.documents, "doc_id", ["text"], word_table(t)).drop("part")
+    return lexicon.lexicon_hits(documents(t), "doc_id", ["text"], word_table(t)).drop("part")
 
 
 _WIDE_DOCS_SQL = f"""

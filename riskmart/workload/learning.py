@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from riskmart.functions.text import word_count
 from riskmart.ml import models
@@ -30,17 +31,23 @@ def labelled(t):
     return split.hash_split(features.complete_cases(numeric), "doc_id")
 
 
-def _prepare(t):
+def _fit_and_score(t, kind):
+    """Fit on the training part and score the rest.
+
+    Fitting passes over its input many times, so the narrow numeric columns are persisted for
+    its duration (a lost block is recomputed from the tables); scoring is one lazy pass.
+    """
     data = labelled(t)
     names = features.feature_columns(data, TARGET, drop=("doc_id",))
-    train = features.class_weights(data.filter("split = 'train'"), TARGET)
-    return models.stable_layout(train, "doc_id", 8), data.filter("split = 'test'"), names
-
-
-def _fit_and_score(t, kind):
-    train, test, names = _prepare(t)
-    model = models.fit(_SPECS[kind], train, TARGET, names)
-    return model, names, models.score(model, test, ["doc_id"])
+    kept = data.persist(StorageLevel.MEMORY_AND_DISK)
+    train = features.class_weights(kept.filter("split = 'train'"), TARGET)
+    laid_out = models.stable_layout(train, "doc_id", 8).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = models.fit(_SPECS[kind], laid_out, TARGET, names)
+    finally:
+        laid_out.unpersist()
+        kept.unpersist()
+    return model, names, models.score(model, labelled(t).filter("split = 'test'"), ["doc_id"])
 
 
 @query("ml_random_forest")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.operators.joins import lookup_join
 from riskmart.workload.registry import Tables
 
 # A list of words frequent in the supplied texts (the public list has no hit in them).
@@ -21,9 +22,17 @@ MODEL_SCORES = {
 }
 
 
+def _lines(t: Tables, *columns: str) -> DataFrame:
+    return t.spread("lineitem", ["l_orderkey", "l_linenumber"], list(columns))
+
+
+def documents(t: Tables) -> DataFrame:
+    return t.spread("documents", ["doc_id"], ["text"])
+
+
 def terms(t: Tables) -> DataFrame:
     """Validity intervals: a line's shipping window, with its supplier as the state."""
-    return t.lineitem.select(
+    return _lines(t, "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate").select(
         F.col("l_linestatus").alias("type"),
         F.col("l_suppkey").cast("string").alias("state"),
         F.col("l_shipdate").alias("start"),
@@ -57,7 +66,7 @@ FROM orders"""
 
 def titled_documents(t: Tables) -> DataFrame:
     """Documents with their first line as title and the rest as abstract."""
-    return t.documents.select(
+    return documents(t).select(
         "doc_id",
         F.substring_index("text", "\n", 1).alias("title"),
         F.expr("substr(text, length(substring_index(text, '\n', 1)) + 2)").alias("abstract"),
@@ -165,7 +174,7 @@ def daily_pages(t: Tables, rpp: int = 25) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("event_type") == "error").alias("n_errors"))
     )
     first = pages.groupBy("feed").agg(F.min("page").alias("first_page"))
-    return pages.join(first, "feed").select(
+    return lookup_join(pages, first, ["feed"], "inner").select(
         "feed",
         ((F.col("page") - F.col("first_page")) * rpp).alias("offset"),
         "n_rows",

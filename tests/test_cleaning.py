@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from riskmart.functions import cleaning as c
 from riskmart.functions import numeric
+from riskmart.operators.joins import lookup_join
 from riskmart.operators import columns, dedupe, features, membership, profile, split
 
 
@@ -173,12 +174,25 @@ def test_membership_with_a_hot_key_and_no_broadcast(spark):
     listed = spark.range(0, 1500).select(F.col("id").cast("string").alias("k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = membership.membership_flag(fact, listed, "award_id", "k", "hit").groupBy("hit").count()
-        assert dict(rows(got)) == {True: 1000 + 1000, False: 1000}
+        flagged = membership.membership_flag(fact, listed, "award_id", "k", "hit", broadcast_rows=0)
+        assert "_salt" in flagged._jdf.queryExecution().executedPlan().toString()
+        # 1000 rows of the hot key, and two thirds of the 1500 listed ids below 1500
+        assert dict(rows(flagged.groupBy("hit").count())) == {True: 1000 + 1000, False: 1000}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_salted_join_is_the_plain_join(spark, how):
+    fact = spark.createDataFrame([(k, i) for i, k in enumerate([None, "a", "a", "a", "b", "z", None] * 9)], "k string, i int")
+    lookup = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
+    plain = rows(fact.join(lookup, "k", how))
+    for limit in (0, 10):
+        assert rows(lookup_join(fact.repartition(5), lookup, ["k"], how, broadcast_rows=limit, salts=4)) == plain
+    with pytest.raises(ValueError):
+        lookup_join(fact, lookup, ["k"], "full")
+
+
 def test_split_ignores_partitioning(spark):
     df = spark.range(2000).select(F.col("id").alias("k"))
     seen = {tuple(rows(split.hash_split(df.repartition(n), "k"))) for n in (1, 2, 7)}

@@ -54,8 +54,9 @@ def test_features(spark):
 
 def test_join_form_agrees(spark):
     table = spark.createDataFrame([(w,) for w in [*LEX, " BIAS ", None]], "flagged_word string")
-    got = lexicon.lexicon_features_by_join(frame(spark), "i", table)
-    assert rows(got, "i", *lexicon.FEATURES) == expected(False)
+    for limit in (100, 0):
+        got = lexicon.lexicon_features_by_join(frame(spark), "i", table, broadcast_rows=limit)
+        assert rows(got, "i", *lexicon.FEATURES) == expected(False)
     assert [t for _, t in got.select(*lexicon.FEATURES).dtypes] == [
         t for _, t in lexicon.lexicon_features(frame(spark), LEX).select(*lexicon.FEATURES).dtypes
     ]
