@@ -22,20 +22,40 @@ def download_prefix(
 ) -> DataFrame:
     """Pages that a sequential download starting at offset 0 would have kept, per feed.
 
-    Such a download ends at the first page that failed, is short or has no successor. A page's
-    successor is found by an equality join on (feed, offset); the earliest ending page per feed
-    is a map-side ``min``. ``failed`` names a boolean column; failed and empty pages are not kept.
+    Such a download ends at the first page that failed, is short or has no successor. ``failed``
+    names a boolean column; failed and empty pages are not kept.
+
+    Whether a successor exists is found without a self-join: every page reports itself at its
+    own offset and announces a successor one page earlier, and both meet in one grouping of
+    four narrow columns.
     """
-    successor = pages.select(F.col(feed).alias("_f"), (F.col(offset) - rpp).alias("_o")).distinct()
-    linked = pages.join(
-        successor.withColumn("_next", F.lit(True)), (F.col(feed) == F.col("_f")) & (F.col(offset) == F.col("_o")), "left"
+    reports = pages.select(
+        F.col(feed).alias("_feed"),
+        F.inline(
+            F.array(
+                F.struct(
+                    F.col(offset).alias("_at"),
+                    F.lit(True).alias("_here"),
+                    (F.col(failed) | (F.col(n_rows) < rpp)).alias("_bad"),
+                ),
+                F.struct(
+                    (F.col(offset) - rpp).alias("_at"), F.lit(False).alias("_here"), F.lit(False).alias("_bad")
+                ),
+            )
+        ),
+    )
+    known = reports.groupBy("_feed", "_at").agg(
+        F.bool_or("_here").alias("_here"), F.bool_or(~F.col("_here")).alias("_next"), F.bool_or("_bad").alias("_bad")
     )
-    ends = F.col(failed) | (F.col(n_rows) < rpp) | F.col("_next").isNull()
-    last = linked.groupBy(feed).agg(
-        F.min(F.when(ends, F.col(offset))).alias("_last"), F.min(offset).alias("_first")
+    last = (
+        known.filter("_here")
+        .groupBy(F.col("_feed").alias(feed))
+        .agg(F.min(F.when(F.col("_bad") | ~F.col("_next"), F.col("_at"))).alias("_last"), F.min("_at").alias("_first"))
+        .filter("_first = 0")
+        .drop("_first")
     )
     usable = pages.filter(~F.col(failed) & (F.col(n_rows) > 0))
-    kept = lookup_join(usable, last.filter("_first = 0").drop("_first"), [feed], "inner")
+    kept = lookup_join(usable, last, [feed], "inner")
     return kept.filter(F.col(offset) <= F.col("_last")).drop("_last")
 
 

@@ -33,9 +33,16 @@ def feature_frame(df: DataFrame, target: str = "is_terminated", include_boolean:
 
 
 def summarize(predictions: DataFrame, prefix: str) -> dict[str, float | None]:
-    """The six metrics of one model: two one-row aggregates, nothing else reaches the driver."""
-    counts = metrics.binary_metrics(predictions).first()
-    curve = metrics.areas(predictions).first()
+    """The six metrics of one model: two one-row aggregates, nothing else reaches the driver.
+
+    The three narrow columns are persisted while they are measured, so the model scores once.
+    """
+    kept = predictions.select("label", "prediction", "score").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = metrics.binary_metrics(kept).first()
+        curve = metrics.areas(kept).first()
+    finally:
+        kept.unpersist()
     values = {**counts.asDict(), **(curve.asDict() if curve else {})}
     return {f"{prefix}_{m}": values.get(m) for m in METRICS}
 
@@ -157,8 +164,14 @@ def stacked_predictions(experiment: Experiment, fitted: Mapping[str, PipelineMod
 def evaluation_report(
     experiment: Experiment, fitted: Mapping[str, PipelineModel], valid: DataFrame
 ) -> dict[str, DataFrame]:
-    """The tables behind every chart and listing of the model comparison."""
-    predictions = stacked_predictions(experiment, fitted, valid)
+    """The tables behind every chart and listing of the model comparison.
+
+    The stacked predictions are written once and read back: every table below starts from
+    narrow columns on shared storage instead of scoring all models again.
+    """
+    path = f"{experiment.zones.predictions}/{experiment.name}"
+    writers.replace_table(stacked_predictions(experiment, fitted, valid), path)
+    predictions = readers.read_table(experiment.spark, path)
     test = predictions.filter("split = 'test'")
     report = {
         "comparison": metrics.model_comparison(predictions),

@@ -39,6 +39,10 @@ class Zones:
     def runs(self) -> str:
         return f"{self.root}/exploitation/runs"
 
+    @property
+    def predictions(self) -> str:
+        return f"{self.root}/exploitation/predictions"
+
     @property
     def models(self) -> str:
         return f"{self.root}/exploitation/models"
