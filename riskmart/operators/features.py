@@ -65,6 +65,24 @@ def complete_cases(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return df.dropna(how="any", subset=list(columns) if columns else numeric_columns(df))
 
 
+def completeness_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows that :func:`complete_cases` keeps and drops, and per numeric column how many lack a value."""
+    wanted = list(columns) if columns else numeric_columns(df)
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+
+    def missing(name: str):
+        c = F.col(name)
+        return c.isNull() | F.isnan(c) if name in floats else c.isNull()
+
+    incomplete = F.greatest(*[missing(n) for n in wanted], F.lit(False))
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~incomplete).alias("n_complete"),
+        F.count_if(incomplete).alias("n_dropped"),
+        *[F.count_if(missing(n)).alias(f"missing_{n}") for n in wanted],
+    )
+
+
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """Rows and percent per class. The total is summed from the class counts, not from the rows."""
     counts = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -88,7 +88,7 @@ def format_review_list(spark: SparkSession, zones: Zones, run_ts: datetime) -> i
 
 def format_legislators(spark: SparkSession, zones: Zones, run_ts: datetime) -> int:
     df = _stamped(clean_legislators(readers.read_table(spark, zones.landing(z.LEGISLATORS))), run_ts)
-    return writers.replace_table(df, zones.formatted(z.LEGISLATORS))
+    return writers.replace_keyed_table(df, zones.formatted(z.LEGISLATORS), "id.bioguide")
 
 
 def format_lexicon(spark: SparkSession, zones: Zones, run_ts: datetime) -> int:

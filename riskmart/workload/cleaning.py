@@ -345,6 +345,21 @@ def complete_cases(t):
     return features.complete_cases(raw)
 
 
+@query(
+    "completeness_report",
+    """SELECT count(*) AS n_rows, count(*) FILTER (c_acctbal >= 0 AND c_nationkey <> 3) AS n_complete,
+              count(*) FILTER (c_acctbal < 0 OR c_nationkey = 3) AS n_dropped,
+              count(*) FILTER (c_nationkey = 3) AS missing_nation, count(*) FILTER (c_acctbal < 0) AS missing_balance
+       FROM customer""",
+)
+def completeness_report(t):
+    raw = t.customer.select(
+        F.when(F.col("c_nationkey") != 3, F.col("c_nationkey")).alias("nation"),
+        F.when(F.col("c_acctbal") < 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal")).alias("balance"),
+    )
+    return features.completeness_report(raw)
+
+
 @query(
     "class_distribution",
     """SELECT toxic AS label, count(*) AS n_rows,

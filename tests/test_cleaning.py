@@ -233,6 +233,7 @@ def test_complete_cases_and_columns(spark):
     assert features.numeric_columns(df) == ["x", "y"]
     assert features.feature_columns(df, "y") == ["x"]
     assert [r["s"] for r in features.complete_cases(df).collect()] == ["a", None]
+    assert tuple(features.completeness_report(df).first()) == (4, 2, 2, 2, 0)
     assert [r["b"] for r in features.bool_to_int(df, ["b"]).orderBy("s").collect()] == [0, 1, 1, 0]
     groups = features.feature_groups(["flagged_word_ratio_abstract", "log_x", "year"])
     assert groups == {"flagged": ["flagged_word_ratio_abstract"], "engineered": ["flagged_word_ratio_abstract", "log_x"]}

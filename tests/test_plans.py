@@ -15,7 +15,7 @@ from riskmart import zones as z
 from riskmart.ml import models
 from riskmart.ml.models import ModelSpec
 from riskmart.operators import dedupe, features, intervals
-from riskmart.plans import exploitation, formatting, landing, training
+from riskmart.plans import daily, exploitation, formatting, landing, training
 from riskmart.sources import readers
 from riskmart.workload.registry import Tables
 from riskmart.zones import Zones
@@ -75,18 +75,22 @@ def lake(spark, tmp_path_factory):
     assert landing.land_csv(spark, zones, z.REVIEW_LIST, str(raw / "review.csv")) == 40
     assert landing.land_csv(spark, zones, z.LEXICON, str(raw / "lexicon.csv")) == 5
     assert landing.land_legislators(spark, zones, str(raw / "people.json")) == 2
-    return zones, source
+    files = {
+        z.AWARDS: source, z.TERMINATED: str(raw / "terminated.csv"), z.REVIEW_LIST: str(raw / "review.csv"),
+        z.LEXICON: str(raw / "lexicon.csv"), z.LEGISLATORS: str(raw / "people.json"),
+    }
+    return zones, source, files
 
 
 @pytest.fixture(scope="module")
 def built(spark, lake):
-    zones, _ = lake
+    zones, _, _ = lake
     counts = formatting.format_all(spark, zones, RUN_TS)
     return zones, counts, exploitation.build_exploitation(spark, zones)
 
 
 def test_landing_keeps_both_years_and_audits(spark, lake):
-    zones, source = lake
+    zones, source, _ = lake
     years = readers.read_json_lines(spark, zones.landing(z.AWARDS)).groupBy("year").count()
     assert rows(years) == [(2022, 121), (2023, 121)]
     assert all(r["complete"] for r in landing.audit_awards(spark, source).collect())
@@ -135,11 +139,11 @@ def test_exploitation(spark, built):
     assert "abstract" not in train.columns and "abstracttext" not in train.columns
 
 
-def test_exploitation_is_idempotent(spark, built):
-    zones, _, _ = built
+def test_a_repeated_day_gives_the_same_rows(spark, lake, built):
+    zones, counts, parts = built
     before = rows(readers.load_train(spark, zones))
-    formatting.format_all(spark, zones, RUN_TS)
-    exploitation.build_exploitation(spark, zones)
+    again = daily.run(spark, zones, lake[2], 2022, 2023, RUN_TS)
+    assert again["formatted"] == counts and again["integrated"] == parts and again["landed"]["awards"] == 242
     assert rows(readers.load_train(spark, zones)) == before
 
 
