@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.functions.cleaning import DEFAULT_LABEL, parse_date, text_or_default
-from riskmart.operators.joins import BROADCAST_ROWS
+from riskmart.operators.joins import BROADCAST_ROWS, fits, measure
 
 _LEVEL_BITS = 2  # a cell holds four cells of the level below
 _TOP_LEVEL = {"day": 6, "microsecond": 24}  # the widest cells span 5.6 and 8.9 years
@@ -138,20 +138,20 @@ def interval_lookup(
     of :func:`explode_terms`. ``granularity="day"`` needs midnight bounds (facts may carry any
     time of day) and fails loudly on others; ``"microsecond"`` takes any timestamp.
 
-    The distinct (state, tick) pairs are counted first (a scan of two columns). Up to
-    ``broadcast_rows`` the answers are broadcast and the fact is not shuffled, beyond that the
+    The distinct (state, tick) pairs are measured first (a scan of two columns). Up to
+    ``broadcast_rows`` rows and a fixed number of bytes (widest party included) the answers are broadcast and the fact is not shuffled, beyond that the
     join back shuffles and adaptive execution splits hot pairs; and if all the cells they look
     into stay below it too, those cells are broadcast to thin out the intervals early. ``None``
-    leaves every choice to the planner without counting.
+    leaves every choice to the planner without measuring.
     """
     top = _TOP_LEVEL[granularity]
     keyed = fact.withColumns({"_state": F.col(state), "_tick": _tick(F.col(date), granularity)})
     pairs = keyed.select("_state", "_tick").dropna().distinct()
-    n_pairs = pairs.count() if broadcast_rows is not None else None
+    size = measure(pairs) if broadcast_rows is not None else None
     probes = pairs.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumn(
         "cell", F.expr(_floor_shift("_tick", "level"))
     )
-    few = n_pairs is not None and n_pairs * (top + 1) <= broadcast_rows
+    few = size is not None and fits(size, broadcast_rows, times=top + 1)
     asked = probes.select("_state", "level", "cell").distinct() if few else None
     answers = (
         probes.join(_winners(terms, kinds, granularity, top, asked), ["_state", "level", "cell"])
@@ -159,7 +159,10 @@ def interval_lookup(
         .agg(*[F.max(out).alias(f"_{out}") for out in kinds.values()])
         .select("_state", "_tick", *[F.col(f"_{out}.party").alias(f"_{out}") for out in kinds.values()])
     )
-    if n_pairs is not None and n_pairs <= broadcast_rows:
+    if size is not None:
+        widest = terms.agg(F.max(F.octet_length("party"))).first()[0] or 0
+        size = (size[0], size[1] + size[0] * len(kinds) * widest)
+    if size is not None and fits(size, broadcast_rows):
         answers = F.broadcast(answers)
     return (
         keyed.join(answers, ["_state", "_tick"], "left")

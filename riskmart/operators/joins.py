@@ -6,11 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 SALTS = 16
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of values (text by its length, anything else as one 8-byte word), in one pass."""
+    words = sum(not isinstance(f.dataType, T.StringType) for f in df.schema.fields)
+    texts = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    per_row = sum((F.coalesce(t, F.lit(0)).cast("bigint") for t in texts), F.lit(8 * words).cast("bigint"))
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(per_row), F.lit(0)).alias("b")).first()
+    return found["n"], found["b"]
+
+
+def fits(size: tuple[int, int], max_rows: int, times: int = 1) -> bool:
+    """Whether ``times`` copies of a measured table may be broadcast."""
+    n_rows, n_bytes = size
+    return n_rows * times <= max_rows and n_bytes * times <= BROADCAST_BYTES
+
+
 def lookup_join(
     fact: DataFrame,
     lookup: DataFrame,
@@ -21,14 +38,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``fact`` (any key skew, null keys included) to ``lookup`` (unique on ``on``, narrow).
 
-    The lookup is counted first. Up to ``broadcast_rows`` rows it is broadcast and the fact is
-    not shuffled. Beyond that both sides are shuffled by key and salt: a fact row takes its salt
+    The lookup is measured first. Up to ``broadcast_rows`` rows and a fixed number of bytes it is
+    broadcast and the fact is not shuffled. Beyond that both sides are shuffled by key and salt: a fact row takes its salt
     from the task that reads it, and each lookup row is repeated once per salt, so a key with a
     third of the fact is worked on by ``salts`` tasks. Either way the result is the plain join.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
-    if lookup.count() <= broadcast_rows:
+    if fits(measure(lookup), broadcast_rows):
         return fact.join(F.broadcast(lookup), list(on), how)
     salted = fact.withColumn("_salt", F.spark_partition_id() % salts)
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from riskmart.functions import cleaning as c
 from riskmart.functions import numeric
-from riskmart.operators.joins import lookup_join
+from riskmart.operators.joins import BROADCAST_BYTES, fits, lookup_join, measure
 from riskmart.operators import columns, dedupe, features, membership, profile, split
 
 
@@ -182,6 +182,14 @@ def test_membership_with_a_hot_key_and_no_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
 
 
+def test_broadcast_needs_both_bounds(spark):
+    df = spark.createDataFrame([("abc", 1), ("é", 2), (None, 3)], "k string, v int")
+    assert measure(df) == (3, 5 + 3 * 8)
+    assert measure(df.filter("false")) == (0, 0)
+    assert fits((10, 10), 10) and not fits((11, 10), 10) and not fits((1, BROADCAST_BYTES + 1), 10)
+    assert not fits((5, 10), 10, times=3)
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_salted_join_is_the_plain_join(spark, how):
     fact = spark.createDataFrame([(k, i) for i, k in enumerate([None, "a", "a", "a", "b", "z", None] * 9)], "k string, i int")
