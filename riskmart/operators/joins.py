@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
-SALTS = 16
+SPLITS = 1024
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -28,25 +28,45 @@ def fits(size: tuple[int, int], max_rows: int, times: int = 1) -> bool:
     return n_rows * times <= max_rows and n_bytes * times <= BROADCAST_BYTES
 
 
+def _hot_keys(fact: DataFrame, on: Sequence[str], splits: int) -> DataFrame:
+    """Keys with more than ``1/splits`` of the rows, and over how many tasks to spread each.
+
+    There are fewer than ``splits`` of them by construction, whatever the data.
+    """
+    counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).dropna(subset=list(on))
+    fair = F.greatest(F.ceil(counts.agg(F.sum("_n")).scalar() / F.lit(splits)), F.lit(1))
+    return counts.filter(F.col("_n") > fair).select(*on, F.ceil(F.col("_n") / fair).cast("int").alias("_tasks"))
+
+
 def lookup_join(
     fact: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    splits: int = SPLITS,
 ) -> DataFrame:
     """Join ``fact`` (any key skew, null keys included) to ``lookup`` (unique on ``on``, narrow).
 
     The lookup is measured first. Up to ``broadcast_rows`` rows and a fixed number of bytes it is
-    broadcast and the fact is not shuffled. Beyond that both sides are shuffled by key and salt: a fact row takes its salt
-    from the task that reads it, and each lookup row is repeated once per salt, so a key with a
-    third of the fact is worked on by ``salts`` tasks. Either way the result is the plain join.
+    broadcast and the fact is not shuffled. Beyond that both sides are shuffled by key and salt:
+    the fact's keys are counted, a key with a share of ``s`` of the rows gets about ``s * splits``
+    salts, and only its one lookup row is repeated that often; all other keys have one salt. A
+    fact row takes its salt from the task that reads it, so equal rows spread too. Rows with a
+    null key match nothing and spread freely. Either way the result is the plain join.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
+    on = list(on)
     if fits(measure(lookup), broadcast_rows):
-        return fact.join(F.broadcast(lookup), list(on), how)
-    salted = fact.withColumn("_salt", F.spark_partition_id() % salts)
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return fact.join(F.broadcast(lookup), on, how)
+    hot = F.broadcast(_hot_keys(fact, on, splits))
+    no_key = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
+    tasks = F.when(no_key, F.lit(splits)).otherwise(F.coalesce("_tasks", F.lit(1)))
+    salted = fact.join(hot, on, "left").withColumn("_salt", F.spark_partition_id() % tasks).drop("_tasks")
+    repeated = (
+        lookup.join(hot, on, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_tasks", F.lit(1)) - 1)))
+        .drop("_tasks")
+    )
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

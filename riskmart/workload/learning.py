@@ -41,7 +41,8 @@ def _fit_and_score(t, kind):
     names = features.feature_columns(data, TARGET, drop=("doc_id",))
     kept = data.persist(StorageLevel.MEMORY_AND_DISK)
     train = features.class_weights(kept.filter("split = 'train'"), TARGET)
-    laid_out = models.stable_layout(train, "doc_id", 8).persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = models.stable_layout(train, "doc_id", partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = models.fit(_SPECS[kind], laid_out, TARGET, names)
     finally:
