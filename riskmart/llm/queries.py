@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from riskmart.llm import exact_dedup, mixing
+from riskmart.llm import exact_dedup, mixing, packing
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op8_pack_sequences": packing.op8_pack_sequences,
 }
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
