@@ -46,3 +46,20 @@ def row_hash(df: DataFrame, skip: Iterable[str] = ()) -> Column:
         F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map" in f.dataType.simpleString() else F.col(f"`{f.name}`")
         for f in df.schema.fields if f.name.lower() not in skipped
     ], F.lit(0))
+
+
+HOT_KEYS = 4_096
+
+
+def join_by_hot(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataFrame:
+    """Left join of ``rows`` to a table with one row per key that knows each key's number of rows.
+
+    The ``HOT_KEYS`` largest keys are joined by broadcasting their rows (a fixed number, of a few
+    columns each); every other key has less than 1/``HOT_KEYS`` of the rows and is joined by shuffle.
+    ``rows`` is read twice and should be a written table.
+    """
+    hot = F.broadcast(table.orderBy(F.desc(size), key).limit(HOT_KEYS).withColumn("hot_", F.lit(True)))
+    tried = rows.join(hot, key, "left")
+    added = [c for c in table.columns if c != key]
+    rest = tried.filter("hot_ is null").drop("hot_", *added).join(table, key, "left")
+    return tried.filter("hot_").drop("hot_").unionByName(rest)

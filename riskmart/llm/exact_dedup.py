@@ -50,33 +50,38 @@ def _block(hash64: Column, filter_bits: int) -> Column:
     return F.pmod(hash64, F.lit(max(1, filter_bits // BLOCK_BITS)))
 
 
-def repeated_filter(digests: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """Bloom filter (block, bits) over the hashes that occur at least twice."""
-    repeated = (
-        digests.groupBy(F.xxhash64("text_sha256").alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-    )
+def bloom_filter(hashes: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """Blocked Bloom filter (block_, bits_) over a column ``h`` of 64-bit hashes; of fixed size at most."""
     return (
-        repeated.select(_block(F.col("h"), filter_bits).alias("block_"), F.explode(F.array(*_positions(F.col("h")))).alias("at"))
+        hashes.select(_block(F.col("h"), filter_bits).alias("block_"), F.explode(F.array(*_positions(F.col("h")))).alias("at"))
         .groupBy("block_")
         .agg(F.bitmap_construct_agg("at").alias("bits_"))
     )
 
 
+def repeated_filter(digests: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """Pass 1: the filter over the hashes that occur at least twice."""
+    counted = digests.groupBy(F.xxhash64("text_sha256").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    return bloom_filter(counted.filter("n > 1").select("h"), filter_bits)
+
+
 def _bit(position: Column) -> Column:
     byte = F.conv(F.hex(F.substring(F.col("bits_"), F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), position % 8 + 1)) != 0
 
 
-def may_repeat(rows: DataFrame, bloom: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """Pass 2: add ``maybe_``, true where every bit of the row's hash is set. No shuffle."""
-    h = F.xxhash64("text_sha256")
-    hit = reduce(lambda a, b: a & b, [_bit(p) for p in _positions(h)])
-    probed = rows.withColumn("block_", _block(h, filter_bits)).join(F.broadcast(bloom), "block_", "left")
+def in_filter(rows: DataFrame, bloom: DataFrame, hash64: Column, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """Add ``maybe_``, true where every bit of the row's hash is set. No shuffle of the rows."""
+    hit = reduce(lambda a, b: a & b, [_bit(p) for p in _positions(hash64)])
+    probed = rows.withColumn("block_", _block(hash64, filter_bits)).join(F.broadcast(bloom), "block_", "left")
     return probed.withColumn("maybe_", F.coalesce(hit, F.lit(False))).drop("block_", "bits_")
 
 
+def may_repeat(rows: DataFrame, bloom: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """Pass 2: mark the rows whose digest may occur twice."""
+    return in_filter(rows, bloom, F.xxhash64("text_sha256"), filter_bits)
+
+
 def _groups(maybe: DataFrame, id_col: str) -> DataFrame:
     by_id = maybe.groupBy("text_sha256", F.col(id_col).alias("id_")).agg(F.count(F.lit(1)).alias("n_"))
     return (
