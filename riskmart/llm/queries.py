@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from riskmart.llm import exact_dedup, mixing, ngram_join, packing
+from riskmart.llm import ann, chat_format, exact_dedup, mixing, ngram_join, packing
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_nearest_vectors": ann.op4_nearest_vectors,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op7_format_chats": chat_format.op7_format_chats,
     "op8_pack_sequences": packing.op8_pack_sequences,
     "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
 }
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op6_mix_sources": mixing.OP6_SQL,
+    "op7_format_chats": chat_format.OP7_SQL,
     "op9_ngram_jaccard": ngram_join.OP9_SQL,
 }
