@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,3 +65,23 @@ def join_by_hot(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataF
     added = [c for c in table.columns if c != key]
     rest = tried.filter("hot_ is null").drop("hot_", *added).join(table, key, "left")
     return tried.filter("hot_").drop("hot_").unionByName(rest)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, wherever they run and whatever folder they start in.
+
+    Spark's own file server hands the archive from the driver to the executors; once per application.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_riskmart_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskmart-"), "riskmart.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._riskmart_shipped = True

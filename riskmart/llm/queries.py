@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from riskmart.llm import ann, chat_format, exact_dedup, mixing, ngram_join, packing
+from functools import wraps
+
+from riskmart.llm import ann, chat_format, exact_dedup, html_extract, mixing, ngram_join, packing
+from riskmart.llm.common import ship
+
+
+def _shipped(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
 QUERIES = {
-    "op3_exact_dedup": exact_dedup.op3_exact_dedup,
-    "op4_nearest_vectors": ann.op4_nearest_vectors,
-    "op6_mix_sources": mixing.op6_mix_sources,
-    "op7_format_chats": chat_format.op7_format_chats,
-    "op8_pack_sequences": packing.op8_pack_sequences,
-    "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
+    name: _shipped(query)
+    for name, query in {
+        "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_nearest_vectors": ann.op4_nearest_vectors,
+        "op6_mix_sources": mixing.op6_mix_sources,
+        "op7_format_chats": chat_format.op7_format_chats,
+        "op8_pack_sequences": packing.op8_pack_sequences,
+        "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
+        "op10_extract_pages": html_extract.op10_extract_pages,
+    }.items()
 }
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
