@@ -13,8 +13,9 @@ node (a 128-bit hash of the sorted set). Two nodes link when ``100 * |x & y| >=
    number of shared prefix shingles plus the longer rest bounds the overlap; pairs below the needed
    overlap fall away here. The rest is checked exactly: partners of one node form a trie.
 4. *Shingles of more nodes*: their nodes are dealt into blocks of about ``BLOCK`` and block pairs are
-   joined, again by trie. A task returns the links of a spanning forest of what it found, so the
-   number of rows is linear in its nodes.
+   joined, again by trie. Nodes that share several such shingles are compared at the first of them
+   only. A task returns the links of a spanning forest of what it found, so the number of rows is
+   linear in its nodes.
 
 A trie holds sets in the global order backwards (common shingles first), so that near copies share long
 paths. Going down, the overlap of a path with all still possible queries is added up once for all sets
@@ -30,6 +31,7 @@ rows each come back; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,9 +46,10 @@ from riskmart.llm.components import components
 from riskmart.llm.exact_dedup import FILTER_BITS, bloom_filter, in_filter
 
 WORDS = 5
-FEW = 32
+FEW = 64
 COMMON = 100_000
 BLOCK = 256
+_CELLS = 30_000_000  # of one membership table, in bytes
 _WORD_CACHE = 500_000
 _SEEN = 200_000
 _FACTORS = np.array(
@@ -204,38 +207,51 @@ class Trie:
                 start = i
 
 
-def trie_join(queries: list[np.ndarray], members: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """(query, member) of all linked pairs of two lists of sets in trie order."""
-    import sys
-
-    queries_at = np.concatenate(queries) if queries else np.empty(0, np.int64)
-    if not len(queries_at) or not members:
+def trie_join(queries: list[np.ndarray], members: list[np.ndarray], allowed: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """(query, member) of all linked pairs of two lists of sets in trie order; of the allowed ones, if given."""
+    if allowed is not None:
+        some, needed = np.flatnonzero(allowed.any(axis=1)), np.flatnonzero(allowed.any(axis=0))
+        if len(some) < len(queries) or len(needed) < len(members):
+            inner = trie_join([queries[i] for i in some], [members[i] for i in needed], allowed[np.ix_(some, needed)])
+            yield from ((int(some[q]), int(needed[m])) for q, m in inner)
+            return
+    if not queries or not members:
         return
-    known = np.unique(queries_at)
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), len(members) + 1000))  # a trie is as deep as it has members, at worst
+    order = sorted(range(len(members)), key=lambda i: members[i].tobytes())
+    root = Trie([(i, members[i]) for i in order])
+    start = 0
+    while start < len(queries):
+        end, cells = start + 1, len(queries[start])
+        while end < len(queries) and (cells + len(queries[end])) * (end + 1 - start) <= _CELLS:
+            cells += len(queries[end])
+            end += 1
+        for q, m in _descend(root, queries[start:end]):
+            if allowed is None or allowed[start + q, m]:
+                yield start + q, m
+        start = end
+
+
+def _descend(root: Trie, queries: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Walk the trie with all queries at once."""
+    every = np.concatenate(queries)
+    known = np.unique(every)
     columns = len(known)
     has = np.zeros((len(queries), columns + 1), bool)  # the last column: shingles of no query
-    has[np.repeat(np.arange(len(queries)), [len(q) for q in queries]), np.searchsorted(known, queries_at)] = True
+    has[np.repeat(np.arange(len(queries)), [len(q) for q in queries]), np.searchsorted(known, every)] = True
     sizes = np.array([len(q) for q in queries])
-    coded = []
-    for i, m in enumerate(members):
-        at = np.minimum(np.searchsorted(known, m), columns - 1)
-        coded.append((i, m, np.where(known[at] == m, at, columns)))
-    coded.sort(key=lambda c: c[1].tobytes())
-    column_of = {i: c for i, _, c in coded}
-    limit = sys.getrecursionlimit()
-    sys.setrecursionlimit(max(limit, 4 * len(members) + 1000))
-    root = Trie([(i, m) for i, m, _ in coded])
-    stack = [(root, 0, np.arange(len(queries)), np.zeros(len(queries), np.int64), coded[0][0])]
-    some = _one_member(root)
+    stack = [(root, 0, np.arange(len(queries)), np.zeros(len(queries), np.int64))]
     while stack:
-        node, depth, active, overlap, _ = stack.pop()
-        possible = (5 * np.minimum(sizes[active], node.most) >= 4 * np.maximum(sizes[active], node.least))
+        node, depth, active, overlap = stack.pop()
+        possible = 5 * np.minimum(sizes[active], node.most) >= 4 * np.maximum(sizes[active], node.least)
         active, overlap = active[possible], overlap[possible]
         if not len(active):
             continue
-        member = some[id(node)]
-        run = column_of[member][depth:depth + len(node.run)]
-        overlap = overlap + has[np.ix_(active, run)].sum(axis=1) if len(run) else overlap
+        run = node.run
+        if len(run):
+            at = np.minimum(np.searchsorted(known, run), columns - 1)
+            at = np.where(known[at] == run, at, columns)
+            overlap = overlap + has[np.ix_(active, at)].sum(axis=1)
         depth += len(run)
         for i in node.ends:
             for q in active[9 * overlap >= 4 * (sizes[active] + depth)]:
@@ -244,20 +260,7 @@ def trie_join(queries: list[np.ndarray], members: list[np.ndarray]) -> Iterator[
             alive = 9 * (overlap + node.rest) >= 4 * (sizes[active] + max(node.least, depth))
             active, overlap = active[alive], overlap[alive]
             if len(active):
-                stack += [(child, depth, active, overlap, None) for child in node.children]
-
-
-def _one_member(root: Trie) -> dict[int, int]:
-    """Any member below each node: its columns are those of the path."""
-    found: dict[int, int] = {}
-    order, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        order.append(node)
-        stack += node.children
-    for node in reversed(order):
-        found[id(node)] = node.ends[0] if node.ends else found[id(node.children[0])]
-    return found
+                stack += [(child, depth, active, overlap) for child in node.children]
 
 
 def _star_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,6 +301,8 @@ def _block_links(rows):
     import pandas as pd
 
     nodes, sides = rows["node"].tolist(), rows["side"].tolist()
+    token = int(rows["token"].iloc[0])
+    earlier = [np.asarray(e)[np.asarray(e) < token] for e in rows["crowded"]]
     sets = [np.frombuffer(t, np.int64) for t in rows["tokens"]]
     left = [i for i, s in enumerate(sides) if s != 1]
     right = [i for i, s in enumerate(sides) if s != 0]
@@ -311,7 +316,8 @@ def _block_links(rows):
 
     pairs = []
     if left and right:
-        for q, m in trie_join([sets[i] for i in left], [sets[i] for i in right]):
+        allowed = _first_here(earlier, left, right)
+        for q, m in trie_join([sets[i] for i in left], [sets[i] for i in right], allowed):
             a, b = root(left[q]), root(right[m])
             if a != b:
                 parent[a] = b
@@ -319,6 +325,20 @@ def _block_links(rows):
     return pd.DataFrame(pairs, columns=["u", "v"])
 
 
+def _first_here(earlier: list[np.ndarray], left: list[int], right: list[int]) -> np.ndarray:
+    """Pairs that share no earlier crowded shingle, and no row with itself."""
+    known = np.unique(np.concatenate(earlier)) if earlier else np.empty(0)
+
+    def table(rows: list[int]) -> np.ndarray:
+        out = np.zeros((len(rows), len(known)), np.float32)
+        for k, i in enumerate(rows):
+            out[k, np.searchsorted(known, earlier[i])] = 1
+        return out
+
+    allowed = table(left) @ table(right).T == 0
+    return allowed & (np.array(left)[:, None] != np.array(right)[None, :])
+
+
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, common: int = COMMON, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -396,12 +416,13 @@ def _stars(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _blocks(crowded: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     blocks = F.ceil(F.col("df") / block).cast("int")
+    listed = crowded.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("crowded"))  # within one prefix
     placed = (
         crowded.withColumn("m", blocks).withColumn("i", F.pmod(F.xxhash64("node", "token"), F.col("m")).cast("int"))
-        .join(sets, "node")
+        .join(sets.join(listed, "node"), "node")
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
         .select(
-            "token", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "tokens",
+            "token", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "tokens", "crowded",
             F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"),
         )
     )
