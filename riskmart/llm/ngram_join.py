@@ -36,12 +36,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskmart.llm.common import join_by_hot, written
+from riskmart.llm.common import join_by_hot, row_hash, written
 from riskmart.llm.components import components
 from riskmart.llm.exact_dedup import FILTER_BITS, bloom_filter, in_filter
 
@@ -128,8 +128,8 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(seen) < _SEEN:
                 seen.add(key)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), _lists(heads)],
-            names=["doc_id", "n", "node", "head"],
+            [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), _lists(heads)],
+            names=["doc_id", "row_key", "n", "node", "head"],
         )
 
 
@@ -339,14 +339,20 @@ def _first_here(earlier: list[np.ndarray], left: list[int], right: list[int]) ->
     return allowed & (np.array(left)[:, None] != np.array(right)[None, :])
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(id_col, text_col)
+
+
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, common: int = COMMON, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    """One row per row of ``docs``: doc_id, row_key (a hash of id and text), n_shingles, component_id."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    slim = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), row_key(id_col, text_col).alias("row_key")
+    )
     rows = written(
         slim.mapInArrow(_set_rows, T.StructType([
-            T.StructField("doc_id", id_type), T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()),
+            T.StructField("doc_id", id_type), T.StructField("row_key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()),
             T.StructField("head", T.ArrayType(T.LongType())),
         ])), "sets")
     frequent = (
@@ -372,7 +378,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sets = written(_sets_of(slim, involved, common_list), "ordered")
     edges = _stars(pairs, sets).union(_blocks(crowded, sets, block))
     labels = components(edges)
-    return _labelled(rows.select("doc_id", "n", "node"), labels)
+    return _labelled(rows.select("doc_id", "row_key", "n", "node"), labels)
 
 
 def _candidates(shared: DataFrame) -> DataFrame:
@@ -439,13 +445,49 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     )
     full, empty = rows.filter("n > 0"), rows.filter("n = 0")
     return (
-        join_by_hot(full, named, "node", "size_").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(empty.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+        join_by_hot(full, named, "node", "size_").select("doc_id", "row_key", F.col("n").alias("n_shingles"), "component_id")
+        .unionByName(empty.select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    )
+
+
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: of each group the one with the least id.
+
+    Rows without a word are in no group and stay. Only rows that a Bloom filter of fixed size takes for
+    dropped or repeated ones are shuffled; all others pass straight through.
+    """
+    decided = written(jaccard_groups(docs, id_col, text_col), "groups")
+    # Of a group's rows with its least id (more than one only if ids repeat) the least key stays, once.
+    same = Window.partitionBy("component_id").orderBy("row_key")
+    heads = (
+        decided.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("component_id", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("times"))
+        .withColumn("nth", F.row_number().over(same))
+    )
+    later = decided.filter((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    touched = written(
+        later.select("doc_id", "row_key", F.lit(True).alias("dropped")).distinct()
+        .union(heads.filter("nth > 1 or times > 1").select("doc_id", "row_key", (F.col("nth") > 1).alias("dropped"))),
+        "touched",
+    )
+    bloom = written(bloom_filter(touched.select(F.xxhash64("row_key").alias("h"))), "bloom")
+    keyed = docs.withColumn("row_key_", row_key(id_col, text_col))
+    probed = in_filter(keyed, bloom, F.xxhash64("row_key_"))
+    names = docs.columns
+    copies = Window.partitionBy("row_key_", id_col).orderBy(row_hash(docs, [id_col]))
+    known = touched.select(F.col("doc_id").alias("id_"), "row_key", "dropped")
+    settled = (
+        probed.filter("maybe_")
+        .join(known, (F.col("row_key_") == F.col("row_key")) & F.col(id_col).eqNullSafe(F.col("id_")), "left")
+        .filter(~F.coalesce("dropped", F.lit(False)))
+        .withColumn("nth_", F.when(F.col("dropped").isNull(), F.lit(1)).otherwise(F.row_number().over(copies)))
+        .filter("nth_ = 1")
     )
+    return probed.filter("not maybe_").select(*names).unionByName(settled.select(*names))
 
 
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
-    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row_key")
 
 
 OP9_SQL = r"""
