@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from riskmart.llm import ann, chat_format, exact_dedup, html_extract, mixing, ngram_join, packing
+from riskmart.llm import ann, chat_format, exact_dedup, html_extract, language_id, mixing, ngram_join, packing, token_counts, toxicity
 from riskmart.llm.common import ship
 
 
@@ -20,8 +20,11 @@ def _shipped(query):
 QUERIES = {
     name: _shipped(query)
     for name, query in {
+        "op1_toxicity": toxicity.op1_toxicity,
+        "op2_token_counts": token_counts.op2_token_counts,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_nearest_vectors": ann.op4_nearest_vectors,
+        "op5_identify_language": language_id.op5_identify_language,
         "op6_mix_sources": mixing.op6_mix_sources,
         "op7_format_chats": chat_format.op7_format_chats,
         "op8_pack_sequences": packing.op8_pack_sequences,

@@ -14,7 +14,7 @@ import unicodedata
 _BY_PATH: dict[str, "WordTokens"] = {}
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in byte-level vocabularies: printable bytes stand for themselves."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -31,7 +31,7 @@ class WordTokens(dict):
 
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
-        self._letters = _byte_letters()
+        self._letters = byte_letters()
         self._limit = limit
 
     def __missing__(self, word: bytes) -> bytes:
