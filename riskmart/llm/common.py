@@ -41,6 +41,17 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def hide(df: DataFrame, *needed: str) -> tuple[DataFrame, list[str], list[Column]]:
+    """Give all columns neutral names while an operator works, so that none can clash with its own.
+
+    Returns the renamed frame, the new names of the needed columns, and the columns under their old names.
+    """
+    hidden = [f"in{i}_" for i in range(len(df.columns))]
+    place = {name.lower(): h for name, h in zip(df.columns, hidden)}
+    restored = [F.col(h).alias(name) for name, h in zip(df.columns, hidden)]
+    return df.toDF(*hidden), [place[n.lower()] for n in needed], restored
+
+
 def row_hash(df: DataFrame, skip: Iterable[str] = ()) -> Column:
     """A hash of all other columns: the last tie-break, after which rows are interchangeable."""
     skipped = {s.lower() for s in skip}

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskmart.llm.common import row_hash, without, written
+from riskmart.llm.common import hide, row_hash, without, written
 
 BLOCK_BITS = 32_768  # what bitmap_construct_agg holds in one value
 HASHES = 4
@@ -97,9 +97,10 @@ def _groups(maybe: DataFrame, id_col: str) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
     """All rows and columns, with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``."""
-    base = without(docs, OUTPUT)
-    _, bloom, groups = _passes(base, id_col, text_col, filter_bits)
-    return _settle(base.withColumn("text_sha256", digest(text_col)), groups, bloom, id_col, filter_bits)
+    base, (id_at, text_at), restored = hide(without(docs, OUTPUT), id_col, text_col)
+    _, bloom, groups = _passes(base, id_at, text_at, filter_bits)
+    settled = _settle(base.withColumn("text_sha256", digest(text_at)), groups, bloom, id_at, filter_bits)
+    return settled.select(*restored, *OUTPUT)
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:

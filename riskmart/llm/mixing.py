@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskmart.llm.common import row_hash, without, written
+from riskmart.llm.common import hide, row_hash, without, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -98,8 +98,8 @@ def mix(
     max_repeat: int = MAX_REPEAT,
 ) -> DataFrame:
     """All rows and columns with ``size``, ``source_size``, ``target``, ``taken`` and ``copies``."""
-    base = without(docs, (*OUTPUT, "copies"))
-    rows = placed(base, id_col, source_col, words(text_col))
+    base, (id_at, source_at, text_at), restored = hide(without(docs, (*OUTPUT, "copies")), id_col, source_col, text_col)
+    rows = placed(base, id_at, source_at, words(text_at))
     # One pass over the texts gives the sizes of all buckets; everything above is made from these.
     buckets = written(rows.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("n_"), F.sum("size").alias("words_")), "buckets")
     classes = buckets.groupBy("key_", "class_").agg(F.sum("n_").alias("n_"), F.sum("words_").alias("words_"))
@@ -122,14 +122,14 @@ def mix(
         .join(starts, ["key_", "class_"])
         .select(*_KEYS, (F.col("start_") + F.col("within_")).alias("first_"), "source_size", "target", "each_", "offset_")
     )
-    order = Window.partitionBy(*_KEYS).orderBy("size", id_col, row_hash(base, [id_col]))
+    order = Window.partitionBy(*_KEYS).orderBy("size", id_at, row_hash(base, [id_at]))
     upto = F.expr("(cast(first_ + nth_ as decimal(20,0)) * cast(each_ as decimal(14,0)) + offset_) div %d" % UNIT)
     upto_before = F.expr("(cast(first_ + nth_ - 1 as decimal(20,0)) * cast(each_ as decimal(14,0)) + offset_) div %d" % UNIT)
     return (
         rows.withColumn("nth_", F.row_number().over(order))
         .join(offsets, list(_KEYS))
         .withColumn("copies", (upto - upto_before).cast("long"))
-        .select(*base.columns, "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+        .select(*restored, "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
     )
 
 

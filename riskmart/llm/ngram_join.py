@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskmart.llm.common import join_by_hot, row_hash, written
+from riskmart.llm.common import hide, join_by_hot, row_hash, written
 from riskmart.llm.components import components
 from riskmart.llm.exact_dedup import FILTER_BITS, bloom_filter, in_filter
 
@@ -296,16 +296,30 @@ def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
 
 
+def _sides(rows) -> tuple[list[int], list[int], np.ndarray]:
+    """Rows of either block of a pair (all rows twice, if it is one block), and the pairs to compare here."""
+    token = int(rows["token"].iloc[0])
+    earlier = [np.asarray(e)[np.asarray(e) < token] for e in rows["crowded"]]
+    sides = rows["side"].tolist()
+    left = [i for i, s in enumerate(sides) if s != 1]
+    right = [i for i, s in enumerate(sides) if s != 0]
+    return left, right, _first_here(earlier, left, right)
+
+
+def _needed_rows(rows):
+    """Of a pair of blocks, the rows that have any partner to compare here; sets follow for these only."""
+    left, right, allowed = _sides(rows)
+    needed = {left[i] for i in np.flatnonzero(allowed.any(axis=1))} | {right[i] for i in np.flatnonzero(allowed.any(axis=0))}
+    return rows.iloc[sorted(needed)]
+
+
 def _block_links(rows):
     """One pair of blocks (or one block with itself): links of a spanning forest."""
     import pandas as pd
 
-    nodes, sides = rows["node"].tolist(), rows["side"].tolist()
-    token = int(rows["token"].iloc[0])
-    earlier = [np.asarray(e)[np.asarray(e) < token] for e in rows["crowded"]]
+    nodes = rows["node"].tolist()
     sets = [np.frombuffer(t, np.int64) for t in rows["tokens"]]
-    left = [i for i, s in enumerate(sides) if s != 1]
-    right = [i for i, s in enumerate(sides) if s != 0]
+    left, right, allowed = _sides(rows)
     parent = list(range(len(nodes)))
 
     def root(i: int) -> int:
@@ -316,7 +330,6 @@ def _block_links(rows):
 
     pairs = []
     if left and right:
-        allowed = _first_here(earlier, left, right)
         for q, m in trie_join([sets[i] for i in left], [sets[i] for i in right], allowed):
             a, b = root(left[q]), root(right[m])
             if a != b:
@@ -421,18 +434,19 @@ def _stars(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _blocks(crowded: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    blocks = F.ceil(F.col("df") / block).cast("int")
     listed = crowded.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("crowded"))  # within one prefix
     placed = (
-        crowded.withColumn("m", blocks).withColumn("i", F.pmod(F.xxhash64("node", "token"), F.col("m")).cast("int"))
-        .join(sets.join(listed, "node"), "node")
+        crowded.withColumn("m", F.ceil(F.col("df") / block).cast("int"))
+        .withColumn("i", F.pmod(F.xxhash64("node", "token"), F.col("m")).cast("int"))
+        .join(listed, "node")
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
         .select(
-            "token", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "tokens", "crowded",
-            F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"),
+            "token", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node",
+            F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"), "crowded",
         )
     )
-    return placed.groupBy("token", "lo", "hi").applyInPandas(_block_links, "u binary, v binary")
+    needed = placed.groupBy("token", "lo", "hi").applyInPandas(_needed_rows, placed.schema)
+    return needed.join(sets, "node").groupBy("token", "lo", "hi").applyInPandas(_block_links, "u binary, v binary")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -471,19 +485,18 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "touched",
     )
     bloom = written(bloom_filter(touched.select(F.xxhash64("row_key").alias("h"))), "bloom")
-    keyed = docs.withColumn("row_key_", row_key(id_col, text_col))
-    probed = in_filter(keyed, bloom, F.xxhash64("row_key_"))
-    names = docs.columns
-    copies = Window.partitionBy("row_key_", id_col).orderBy(row_hash(docs, [id_col]))
+    base, (id_at, text_at), restored = hide(docs, id_col, text_col)
+    probed = in_filter(base.withColumn("row_key_", row_key(id_at, text_at)), bloom, F.xxhash64("row_key_"))
+    copies = Window.partitionBy("row_key_", id_at).orderBy(row_hash(base, [id_at]))
     known = touched.select(F.col("doc_id").alias("id_"), "row_key", "dropped")
     settled = (
         probed.filter("maybe_")
-        .join(known, (F.col("row_key_") == F.col("row_key")) & F.col(id_col).eqNullSafe(F.col("id_")), "left")
+        .join(known, (F.col("row_key_") == F.col("row_key")) & F.col(id_at).eqNullSafe(F.col("id_")), "left")
         .filter(~F.coalesce("dropped", F.lit(False)))
         .withColumn("nth_", F.when(F.col("dropped").isNull(), F.lit(1)).otherwise(F.row_number().over(copies)))
         .filter("nth_ = 1")
     )
-    return probed.filter("not maybe_").select(*names).unionByName(settled.select(*names))
+    return probed.filter("not maybe_").select(*restored).unionByName(settled.select(*restored))
 
 
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
