@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskmart.llm.common import written
+from riskmart.llm.common import lowest, written
 
 MAX_LISTS = 4_096
 SAMPLE_PER_LIST = 40
@@ -210,7 +210,7 @@ def nearest(
     distinct = written(distinct, "distinct")
     lists = lists or int(min(MAX_LISTS, max(1, 2 * count ** 0.5)))
     sample = _matrix(
-        distinct.select("v", F.xxhash64("v").alias("h")).orderBy("h").limit(lists * SAMPLE_PER_LIST).select("v").toArrow().column("v").combine_chunks()
+        lowest(distinct.select("v", F.xxhash64("v").alias("h")), "h", lists * SAMPLE_PER_LIST, count).select("v").toArrow().column("v").combine_chunks()
     )
     spread = rotation(sample.shape[1])
     sample = _unit(sample) @ spread

@@ -35,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmart.llm.common import lowest
+
 SAMPLE = 300
 SAMPLE_BYTES = 100_000
 SYNTHETIC = 900
 PATH, WORDS, NUMBERS = 96, 48, 8
 FEATURES = PATH + WORDS + NUMBERS
 HIDDEN = 12
-EPOCHS = 8
+EPOCHS = 14
 BATCH = 48
 STREAM = 256
 
@@ -423,11 +425,8 @@ def main_texts(model: BiLSTM, pages: list[str | None]) -> list[str]:
 
 def fit_on(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> BiLSTM:
     """Train on a bounded sample: the pages whose ids hash lowest, of at most ``SAMPLE_BYTES`` bytes each."""
-    chosen = (
-        pages.filter(F.octet_length(html_col) <= SAMPLE_BYTES).select(F.xxhash64(id_col).alias("h"), html_col)
-        .orderBy("h", html_col).limit(sample).collect()
-    )
-    return train([r[html_col] for r in chosen])
+    some = pages.filter(F.octet_length(html_col) <= SAMPLE_BYTES).select(F.xxhash64(id_col).alias("h"), F.col(html_col).alias("page"))
+    return train([r["page"] for r in lowest(some, "h", sample, some.count(), "page").collect()])
 
 
 def extract(pages: DataFrame, model: BiLSTM, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

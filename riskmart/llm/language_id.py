@@ -208,8 +208,14 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
         .select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.substring(data, place, F.lit(PASSAGE)).alias("passage"))
     )
+    # Hashes spread evenly: only rows below about four times a language's expected cut go to its ranking.
+    sizes = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    share = F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(-(1 << 63))), 11) / float(1 << 53)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "passage"))
-    chosen = rows.withColumn("nth", nth).filter(F.col("nth") <= PER_LANGUAGE).orderBy("h", "lang", "passage").limit(SAMPLE).collect()
+    chosen = (
+        rows.join(sizes, "lang").filter(share <= 4.0 * PER_LANGUAGE / F.col("n")).withColumn("nth", nth)
+        .filter(F.col("nth") <= PER_LANGUAGE).orderBy("h", "lang", "passage").limit(SAMPLE).collect()
+    )
     if not chosen:
         return None
     languages = sorted({r["lang"] for r in chosen})

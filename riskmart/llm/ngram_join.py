@@ -357,7 +357,10 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, common: int = COMMON, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, row_key (a hash of id and text), n_shingles, component_id."""
+    """One row per row of ``docs``: doc_id, row_key (a hash of id and text), n_shingles, component_id, root.
+
+    ``root`` tells groups apart that share their least id, as ids may repeat; it is null for an empty set.
+    """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType
     slim = docs.select(
@@ -455,12 +458,13 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     rooted = written(nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     roots = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("rows_").alias("size_"))
     named = written(
-        join_by_hot(rooted, written(roots, "roots"), "root", "size_").select("node", "component_id", F.col("rows_").alias("size_")), "named"
+        join_by_hot(rooted, written(roots, "roots"), "root", "size_").select("node", "component_id", "root", F.col("rows_").alias("size_")), "named"
     )
     full, empty = rows.filter("n > 0"), rows.filter("n = 0")
     return (
-        join_by_hot(full, named, "node", "size_").select("doc_id", "row_key", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(empty.select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+        join_by_hot(full, named, "node", "size_").select("doc_id", "row_key", F.col("n").alias("n_shingles"), "component_id", "root")
+        .unionByName(empty.select(
+            "doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("binary").alias("root")))
     )
 
 
@@ -472,10 +476,10 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     decided = written(jaccard_groups(docs, id_col, text_col), "groups")
     # Of a group's rows with its least id (more than one only if ids repeat) the least key stays, once.
-    same = Window.partitionBy("component_id").orderBy("row_key")
+    same = Window.partitionBy("root").orderBy("row_key")
     heads = (
         decided.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("times"))
+        .groupBy("root", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("times"))
         .withColumn("nth", F.row_number().over(same))
     )
     later = decided.filter((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -500,7 +504,7 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
-    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row_key")
+    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row_key", "root")
 
 
 OP9_SQL = r"""

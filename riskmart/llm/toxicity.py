@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.common import without, written
+from riskmart.llm.common import lowest, without, written
 
 TOXIC_SAMPLE = 2_000
 CLEAN_SAMPLE = 6_000
@@ -123,8 +123,9 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, tox
         labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col(id_col).alias("id_")).agg(F.max("toxic").cast("int").alias("toxic_")).withColumn("h_", F.xxhash64("id_"))
     )
-    some = judged.filter("toxic_ > 0").orderBy("h_", "id_").limit(toxic_sample).union(
-        judged.filter("toxic_ <= 0").orderBy("h_", "id_").limit(clean_sample)
+    sizes = dict(judged.groupBy((F.col("toxic_") > 0).alias("t")).agg(F.count(F.lit(1))).collect())
+    some = lowest(judged.filter("toxic_ > 0"), "h_", toxic_sample, sizes.get(True, 0), "id_").union(
+        lowest(judged.filter("toxic_ <= 0"), "h_", clean_sample, sizes.get(False, 0), "id_")
     )
     chosen = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_")).join(F.broadcast(some), "id_").select("toxic_", "text_")
 
