@@ -12,6 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_FOLDER: dict[str, str] = {}
+_CACHES: dict[str, list] = {}
+
+
+def cached(owner: str, cache):
+    """Note a worker-wide cache (anything with ``clear``) as its owner's."""
+    _CACHES.setdefault(owner, []).append(cache)
+    return cache
+
+
+def only(owner: str) -> None:
+    """Called by a task as it starts: a reused worker drops what other operators have cached in it."""
+    for name, caches in _CACHES.items():
+        if name != owner:
+            for cache in caches:
+                cache.clear()
 
 
 def shared_folder(spark: SparkSession) -> str:

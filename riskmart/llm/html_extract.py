@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.common import lowest
+from riskmart.llm.common import cached, lowest, only
 
 SAMPLE = 300
 SAMPLE_BYTES = 100_000
@@ -168,8 +168,8 @@ class _Places(dict):
         return found
 
 
-_WORD_PLACE, _PATH_PLACE = _Places(WORDS), _Places(PATH)
-_PATHS: dict[tuple[str, ...], np.ndarray] = {}
+_WORD_PLACE, _PATH_PLACE = cached("html", _Places(WORDS)), cached("html", _Places(PATH))
+_PATHS: dict[tuple[str, ...], np.ndarray] = cached("html", {})
 
 
 def _path_vector(path: tuple[str, ...]) -> np.ndarray:
@@ -438,6 +438,7 @@ def extract(pages: DataFrame, model: BiLSTM, id_col: str = "page_id", url_col: s
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("html")
         for batch in batches:
             for start in range(0, batch.num_rows, STREAM):
                 piece = batch.slice(start, STREAM)

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from riskmart.llm.common import only
+
 WINDOW = 64
 HIDDEN = 8
 BATCH = 1_024
@@ -239,6 +241,7 @@ def identify(docs: DataFrame, model: ByteGRU | None, id_col: str = "doc_id", tex
     arrow = pa.schema([("doc_id", to_arrow_type(id_type)), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("language")
         names = np.array(model.languages, dtype=object)
         for batch in batches:
             readable = np.array(batch.column(2).to_pylist(), bool)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskmart.llm.common import hide, join_by_hot, row_hash, written
+from riskmart.llm.common import cached, hide, join_by_hot, only, row_hash, written
 from riskmart.llm.components import components
 from riskmart.llm.exact_dedup import FILTER_BITS, bloom_filter, in_filter
 
@@ -50,7 +50,7 @@ FEW = 64
 COMMON = 100_000
 BLOCK = 256
 _CELLS = 30_000_000  # of one membership table, in bytes
-_WORD_CACHE = 500_000
+_WORD_CACHE = 250_000
 _SEEN = 200_000
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64
@@ -67,7 +67,7 @@ class _WordHashes(dict):
         return found
 
 
-_HASHES = _WordHashes()
+_HASHES = cached("ngram join", _WordHashes())
 
 
 def shingles(text: bytes | None) -> np.ndarray:
@@ -113,6 +113,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    only("ngram join")
     seen: set[bytes] = set()
     for batch in batches:
         counts, nodes, heads = [], [], []
@@ -135,6 +136,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _prefix_rows(common_list) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("ngram join")
         common = common_list.value
         seen: set[bytes] = set()
         for batch in batches:
@@ -167,6 +169,7 @@ def _ordered_sets(common_list) -> Callable:
     """node -> its set in trie order: the global order backwards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("ngram join")
         common = common_list.value
         for batch in batches:
             sets = [shingles(text.as_py()) for text in batch.column(0)]

@@ -111,8 +111,10 @@ def _packer(path: str | None, end_id: int, capacity: int, buffer_sequences: int,
     def pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        from riskmart.llm.common import only
         from riskmart.llm.word_tokens import word_tokens
 
+        only("packing")
         tokens = word_tokens(path or vocabulary_path())
         end = end_id.to_bytes(4, "little")
 

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmart.llm.common import cached, only
 from riskmart.llm.word_tokens import byte_letters
 
 LEAF = 64
@@ -73,7 +74,8 @@ def counts_by(path: str | None = None) -> PreTokenCounts:
 
         path = public_tokenizers.path(VOCABULARY)
     if path not in _BY_PATH:
-        _BY_PATH[path] = PreTokenCounts(path)
+        _BY_PATH[path] = cached("token counts", PreTokenCounts(path))
+    only("token counts")
     return _BY_PATH[path]
 
 

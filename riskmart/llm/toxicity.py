@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.common import lowest, without, written
+from riskmart.llm.common import lowest, only, without, written
 
 TOXIC_SAMPLE = 2_000
 CLEAN_SAMPLE = 6_000
@@ -48,7 +48,7 @@ REJECT = 0.5
 RIDGE = 0.02
 OUTPUT = ("severity", "p_toxic", "grade", "rejected")
 _WORD = re.compile(r"\w+")
-_CACHE = 300_000
+_CACHE = 200_000
 
 
 def word_features(word: str) -> list[int]:
@@ -204,6 +204,7 @@ def score(docs: DataFrame, model: CumulativeLink | None, id_col: str = "doc_id",
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("toxicity")
         weight_of = dict(zip(model.features.tolist(), model.weights.tolist()))
         cache: dict[str, tuple[int, ...]] = {}
         for batch in batches:

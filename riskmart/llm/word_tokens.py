@@ -11,6 +11,8 @@ import array
 import os
 import unicodedata
 
+from riskmart.llm.common import cached
+
 _BY_PATH: dict[str, "WordTokens"] = {}
 
 
@@ -24,7 +26,7 @@ def byte_letters() -> dict[int, str]:
 class WordTokens(dict):
     """word (UTF-8 bytes without ASCII white space) -> ids (little-endian unsigned 32-bit)."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -53,8 +55,11 @@ class WordTokens(dict):
 
     def _letters_or_whole(self, word: bytes) -> bytes:
         text = "".join(c.lower() for c in unicodedata.normalize("NFC", word.decode()))
+        end = text[-1:] if text[-1:] in (".", ",") else ""
+        text = text[:-1] if end else text
         if text.isalpha() and max(text) < "ɐ":
-            return self._run("".join(map(self._letters.__getitem__, text.encode())))
+            found = self._run("".join(map(self._letters.__getitem__, text.encode())))
+            return found + self[end.encode()] if end else found
         return self._whole(word)
 
     def _run(self, letters: str) -> bytes:
@@ -76,5 +81,5 @@ class WordTokens(dict):
 def word_tokens(path: str) -> WordTokens:
     """One cache per worker process and vocabulary, kept from task to task."""
     if path not in _BY_PATH:
-        _BY_PATH[path] = WordTokens(path)
+        _BY_PATH[path] = cached("packing", WordTokens(path))
     return _BY_PATH[path]
