@@ -56,7 +56,8 @@ def nan_to_null(c: Column) -> Column:
 
 
 def normalize_word(c: Column) -> Column:
-    return F.lower(F.trim(c))
+    """Lower-case entry of a word list: white space of any kind around it goes, inside it is one space."""
+    return F.lower(F.trim(F.regexp_replace(c, r"[\p{Z}\s]+", " ")))
 
 
 def flag_to_int(c: Column) -> Column:

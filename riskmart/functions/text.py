@@ -10,20 +10,6 @@ from pyspark.sql import functions as F
 # Fixed value: a word is a run of Unicode letters, digits and underscores.
 WORD_PATTERN = r"[\p{L}\p{N}_]+"
 
-# The public word list the text features look for, in its own order.
-FLAGGED_WORDS = (
-    "activism", "activists", "advocacy", "advocate", "barrier", "barriers", "bias", "biased",
-    "BIPOC", "Black and Latinx", "community diversity", "community equity",
-    "cultural differences", "cultural heritage", "culturally responsive",
-    "culturally appropriate", "disabilities", "disability", "discrimination",
-    "discriminatory", "diverse", "diversity", "diversify", "diversifying", "equitable",
-    "equity", "ethnicity", "excluded", "female", "women", "gender", "hate speech",
-    "inclusion", "inclusive", "LGBTQ", "LGBT", "marginalize", "marginalized", "minorities",
-    "minority", "social justice", "trauma", "underserved", "underrepresented", "trans",
-    "transgender", "nonbinary", "abortion", "climate", "emissions", "sustainable",
-    "decarbonization", "carbon footprint", "energy transition",
-)
-
 
 def words(c: Column) -> Column:
     """Lower-case words of a text, in order; null stays null."""
@@ -43,14 +29,18 @@ def hits(tokens: Column, lexicon: Iterable[str]) -> Column:
     return F.filter(tokens, lambda w: w.isin(*wanted))
 
 
-def phrase_hits(tokens: Column, phrases: Iterable[str], length: int) -> Column:
-    """The runs of ``length`` tokens that spell a lexicon phrase."""
-    wanted = sorted(set(phrases))
-    runs = F.when(
+def word_runs(tokens: Column, length: int) -> Column:
+    """The runs of ``length`` consecutive tokens, joined by a space."""
+    return F.when(
         F.size(tokens) >= length,
         F.transform(
             F.sequence(F.lit(1), F.size(tokens) - (length - 1)),
             lambda i: F.array_join(F.slice(tokens, i, F.lit(length)), " "),
         ),
     ).otherwise(F.array().cast("array<string>"))
-    return F.filter(runs, lambda w: w.isin(*wanted))
+
+
+def phrase_hits(tokens: Column, phrases: Iterable[str], length: int) -> Column:
+    """The runs of ``length`` tokens that spell a lexicon phrase."""
+    wanted = sorted(set(phrases))
+    return F.filter(word_runs(tokens, length), lambda w: w.isin(*wanted))

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -68,11 +68,15 @@ class ModelSpec:
         return _CLASSES[self.kind](**options)
 
 
-def build_pipeline(classifier, target: str, features: Sequence[str]) -> Pipeline:
-    """Label cast, feature assembly (NaN kept), classifier."""
-    label = SQLTransformer(statement=f"SELECT *, CAST(`{target}` AS DOUBLE) AS label FROM __THIS__")
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[label, assembler, classifier])
+def with_label(df: DataFrame, target: str) -> DataFrame:
+    """The target as the double column that classifiers read."""
+    return df.selectExpr("*", f"double(`{target}`) AS label")
+
+
+def _stages(classifier, features: Sequence[str]) -> Pipeline:
+    """Feature vectors (NaN kept), then the classifier."""
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[vectors, classifier])
 
 
 def stable_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
@@ -95,7 +99,7 @@ def fit(
 ) -> PipelineModel:
     """Fit once, or pick the grid point with the best cross-validated ROC area and refit it."""
     classifier = spec.estimator(weighted)
-    pipeline = build_pipeline(classifier, target, features)
+    pipeline, train = _stages(classifier, features), with_label(train, target)
     if not spec.grid:
         return pipeline.fit(train)
     grid = ParamGridBuilder()
@@ -116,10 +120,10 @@ def fit(
     return search.fit(train).bestModel
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def score(model: PipelineModel, df: DataFrame, target: str, keep: Sequence[str] = ()) -> DataFrame:
     """``label, prediction, score``: the score is the probability of class 1 (0.0 if there is none)."""
     probability = vector_to_array("probability")
-    return model.transform(df).select(
+    return model.transform(with_label(df, target)).select(
         *keep,
         F.col("label").cast("int").alias("label"),
         F.col("prediction").cast("int").alias("prediction"),

@@ -29,9 +29,19 @@ def canonical_name(name: str) -> str:
     return "_".join(spaced.split())
 
 
-def canonical_names(names: Sequence[str]) -> list[str]:
-    """Canonical and unique: a clash takes the next free ``_2``, ``_3`` ... suffix."""
-    bases = [canonical_name(n) or f"column_{i}" for i, n in enumerate(names, 1)]
+def canonical_names(names: Sequence[str], renames: Mapping[str, str] | None = None) -> list[str]:
+    """Canonical, renamed and unique: a clash takes the next free ``_2``, ``_3`` ... suffix.
+
+    A column that has the business name already keeps it; one that is renamed to it comes second.
+    """
+    plain = [canonical_name(n) or f"column_{i}" for i, n in enumerate(names, 1)]
+    bases = [(renames or {}).get(b, b) for b in plain]
+    order = sorted(range(len(bases)), key=lambda i: (bases[i] != plain[i], i))
+    unique = dict(zip(order, _unique([bases[i] for i in order])))
+    return [unique[i] for i in range(len(bases))]
+
+
+def _unique(bases: Sequence[str]) -> list[str]:
     reserved, taken, out = set(bases), set(), []
     for base in bases:
         name, n = base, 1
@@ -44,9 +54,8 @@ def canonical_names(names: Sequence[str]) -> list[str]:
 
 
 def with_canonical_names(df: DataFrame, renames: Mapping[str, str] | None = None) -> DataFrame:
-    """Rename every column by position, then apply business renames such as ``id -> award_id``."""
-    renamed = df.toDF(*canonical_names(df.columns))
-    return renamed.withColumnsRenamed(dict(renames)) if renames else renamed
+    """Rename every column by position, business renames such as ``id -> award_id`` included."""
+    return df.toDF(*canonical_names(df.columns, renames))
 
 
 def columns_like(df: DataFrame, part: str) -> list[str]:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> DataFrame:
@@ -18,7 +19,11 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) ->
     one row per map task.
     """
     order = [F.col(c).desc_nulls_last() for c in latest]
-    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns).desc())
+    # Maps have no hash of their own: their sorted entries stand for them.
+    hashable = [
+        F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in df.schema.fields
+    ]
+    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*hashable).desc())
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 

@@ -74,7 +74,7 @@ def completeness_report(df: DataFrame, columns: Sequence[str] | None = None) ->
         c = F.col(name)
         return c.isNull() | F.isnan(c) if name in floats else c.isNull()
 
-    incomplete = F.greatest(*[missing(n) for n in wanted], F.lit(False))
+    incomplete = F.greatest(F.lit(False), F.lit(False), *[missing(n) for n in wanted])
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~incomplete).alias("n_complete"),

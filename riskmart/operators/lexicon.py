@@ -26,7 +26,10 @@ def normalize_lexicon(df: DataFrame, word: str = "flagged_word") -> DataFrame:
 
 
 def small_lexicon(df: DataFrame, word: str = "flagged_word", limit: int = 2_000) -> list[str] | None:
-    """The words as a list if there are at most ``limit``, else None (use the join form)."""
+    """The words as a list if there are at most ``limit``, else None (use the join form).
+
+    Both forms give the same features; the limit only says which plan is the cheaper one.
+    """
     found = [r[0] for r in df.select(word).filter(F.col(word).isNotNull()).distinct().take(limit + 1)]
     return found if len(found) <= limit else None
 
@@ -63,7 +66,7 @@ def lexicon_features(
     token array. Absent text columns count as empty, so the output schema is always the same.
     Multi-word entries match only with ``phrases=True``.
     """
-    lexicon = [w.strip().lower() for w in lexicon if w and w.strip()]
+    lexicon = sorted({" ".join(w.split()).lower() for w in lexicon if w and w.strip()})
 
     def tokens(name: str) -> Column:
         return text.words(F.col(name)) if name in df.columns else F.lit(None).cast("array<string>")
@@ -94,56 +97,73 @@ def lexicon_hits(
     lexicon: DataFrame,
     word: str = "flagged_word",
     broadcast_rows: int = BROADCAST_ROWS,
+    phrases: bool = False,
 ) -> DataFrame:
-    """Per key and text column, how often each lexicon word occurs; texts without a hit have no row.
+    """Per key and text column, how often each lexicon entry occurs; texts without a hit have no row.
 
-    The form for a word list of any size: up to ``broadcast_rows`` words the tokens are filtered
-    and counted where they are read, and only counts of hits are shuffled; beyond that the
-    tokens are shuffled by word and salt, as the commonest words are hot keys in any language.
+    The form for a word list of any size. The words of a text are counted first, by the task that
+    reads it, so that a word goes on once per text however often the text repeats it; then the
+    distinct words meet the list. With ``phrases`` runs of words up to the longest entry count too.
     """
     no_words = F.array().cast("array<string>")
+    wanted = normalize_lexicon(lexicon, word).withColumnRenamed(word, "word").filter("word <> ''")
+    longest = 1
+    if phrases:
+        longest = wanted.agg(F.max(F.size(F.split("word", " ")))).first()[0] or 1
+    else:
+        wanted = wanted.filter(~F.contains("word", F.lit(" ")))
 
     def occurrences(name: str) -> Column:
         part = F.lit(name).alias("part")
-        return F.transform(F.coalesce(text.words(F.col(name)), no_words), lambda w: F.struct(part, w.alias("word")))
+        tokens = F.coalesce(text.words(F.col(name)), no_words)
+        runs = [tokens, *[text.word_runs(tokens, n) for n in range(2, longest + 1)]]
+        return F.transform(F.concat(*runs), lambda w: F.struct(part, w.alias("word")))
 
     tokens = df.select(F.col(key), F.explode(F.concat(*map(occurrences, texts))).alias("o")).select(
         key, "o.part", "o.word"
     )
-    wanted = normalize_lexicon(lexicon, word).withColumnRenamed(word, "word")
-    found = lookup_join(tokens, wanted, ["word"], "left_semi", broadcast_rows)
-    return found.groupBy(key, "part", "word").agg(F.count(F.lit(1)).alias("n"))
+    counted = tokens.groupBy(key, "part", "word").agg(F.count(F.lit(1)).alias("n"))
+    return lookup_join(counted, wanted, ["word"], "left_semi", broadcast_rows)
 
 
 def lexicon_features_by_join(
     df: DataFrame,
-    key: str,
     lexicon: DataFrame,
     abstract: str = "abstract",
     title: str = "title",
     word: str = "flagged_word",
     broadcast_rows: int = BROADCAST_ROWS,
+    phrases: bool = False,
 ) -> DataFrame:
-    """The same six features for a word list too long to inline; ``key`` must be unique."""
+    """The same six features for a word list too long to inline.
+
+    Features depend on the texts alone, so rows are told apart by a digest of their texts: no key
+    has to be unique, and equal texts are counted once. Rows without text have no digest and no hit.
+    """
     present = [c for c in (abstract, title) if c in df.columns]
+    if not present:
+        return lexicon_features(df, [], abstract, title)
+    digest = F.md5(F.to_json(F.struct(*present)))
+    marked = df.withColumn("_text", F.when(F.greatest(*[F.col(c).isNotNull() for c in present], F.lit(False)), digest))
+    texts = marked.select("_text", *present).filter("_text IS NOT NULL").dropDuplicates(["_text"])
     in_abstract, in_title = F.col("part") == abstract, F.col("part") == title
-    per_key = (
-        lexicon_hits(df, key, present, lexicon, word, broadcast_rows)
-        .groupBy(key)
+    per_text = (
+        lexicon_hits(texts, "_text", present, lexicon, word, broadcast_rows, phrases)
+        .groupBy("_text")
         .agg(
             F.sum(F.when(in_abstract, F.col("n"))).alias("_count_a"),
             F.count_if(in_abstract).alias("_unique_a"),
             F.sum(F.when(in_title, F.col("n"))).alias("_count_t"),
         )
     )
-    # Counted before the join: the texts themselves need not travel with it.
+    # Counted before the join: only the digest is looked up.
     total = text.word_count(F.col(abstract)) if abstract in df.columns else F.lit(0)
-    joined = df.withColumn("_total_a", total).join(per_key, key, "left")
+    joined = lookup_join(marked.withColumn("_total_a", total), per_text, ["_text"], "left", broadcast_rows)
     filled = joined.withColumns(
         {c: F.coalesce(c, F.lit(0)).cast("int") for c in ("_count_a", "_unique_a", "_count_t")}
     )
     done = _finish(filled, F.col("_count_a"), F.col("_unique_a"), F.col("_total_a"), F.col("_count_t"))
-    return done.drop("_count_a", "_unique_a", "_total_a", "_count_t")
+    return done.select(*df.columns, *FEATURES)
 
 
 def lexicon_coverage(df: DataFrame, flag: str = "has_flagged_words") -> DataFrame:

@@ -13,14 +13,24 @@ from riskmart.zones import Zones
 
 
 def run(
-    spark: SparkSession, zones: Zones, sources: Mapping[str, str], start_year: int, end_year: int, run_ts: datetime
+    spark: SparkSession,
+    zones: Zones,
+    sources: Mapping[str, str],
+    start_year: int,
+    end_year: int,
+    run_ts: datetime,
+    allow_incomplete: bool = False,
 ) -> dict[str, dict[str, int]]:
     """Rows per dataset after each step. ``sources`` names the raw file or folder of each dataset.
 
+    An incomplete download of awards ends the job before anything is written, unless allowed.
     Every step replaces what it writes (awards: only the years at hand), so a failed or repeated
     day is simply run again.
     """
-    landed = {z.AWARDS: landing.land_awards(spark, zones, sources[z.AWARDS], start_year, end_year)}
+    awards = landing.land_awards(
+        spark, zones, sources[z.AWARDS], start_year, end_year, allow_incomplete=allow_incomplete
+    )
+    landed = {z.AWARDS: awards.rows}
     for dataset in (z.TERMINATED, z.REVIEW_LIST, z.LEXICON):
         landed[dataset] = landing.land_csv(spark, zones, dataset, sources[dataset])
     landed[z.LEGISLATORS] = landing.land_legislators(spark, zones, sources[z.LEGISLATORS])

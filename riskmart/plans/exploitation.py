@@ -36,9 +36,7 @@ def _with_text_features(fact: DataFrame, words: DataFrame | None, abstract: str,
     inline = lexicon.small_lexicon(words)
     if inline is not None:
         return lexicon.lexicon_features(fact, inline, abstract, phrases=phrases)
-    if phrases:
-        raise ValueError("phrase matching needs a word list that fits in the plan")
-    return lexicon.lexicon_features_by_join(fact, "award_id", words, abstract)
+    return lexicon.lexicon_features_by_join(fact, words, abstract, phrases=phrases)
 
 
 def exploitation_frame(
@@ -63,7 +61,10 @@ def exploitation_frame(
     else:
         parsed = F.lit(None).cast("timestamp")
     fact = _with_parties(fact.withColumn("startdate_dt", parsed), legislators)
+    # Feeds name the abstract in one of two ways; a row may have either.
     abstract = "abstract" if "abstract" in fact.columns else "abstracttext"
+    if {"abstract", "abstracttext"} <= set(fact.columns):
+        fact = fact.withColumn("abstract", F.coalesce("abstract", "abstracttext"))
     fact = _with_text_features(fact, words, abstract, phrases)
     fact = columns.apply_if_present(
         fact,

@@ -11,7 +11,7 @@ from riskmart import zones as z
 from riskmart.functions import cleaning
 from riskmart.operators import columns, dedupe, lexicon, profile
 from riskmart.sinks import writers
-from riskmart.sources import readers
+from riskmart.sources import readers, schemas
 from riskmart.zones import Zones
 
 
@@ -70,20 +70,20 @@ def _stamped(df: DataFrame, run_ts: datetime) -> DataFrame:
     return columns.stamp(columns.nan_to_null(df), run_ts)
 
 
-def format_awards(spark: SparkSession, zones: Zones, run_ts: datetime, schema=None) -> int:
+def format_awards(spark: SparkSession, zones: Zones, run_ts: datetime, schema=schemas.LANDED_AWARD) -> int:
     raw = readers.read_json_lines(spark, zones.landing(z.AWARDS), schema)
     df = _stamped(clean_awards(raw), run_ts)
-    return writers.replace_keyed_table(df, zones.formatted(z.AWARDS), "award_id", "year")
+    return writers.replace_keyed_table(df, zones.formatted(z.AWARDS), ["award_id"], "year")
 
 
 def format_terminated(spark: SparkSession, zones: Zones, run_ts: datetime) -> int:
     df = _stamped(clean_terminated(readers.read_table(spark, zones.landing(z.TERMINATED))), run_ts)
-    return writers.replace_keyed_table(df, zones.formatted(z.TERMINATED), "grant_number")
+    return writers.replace_keyed_table(df, zones.formatted(z.TERMINATED), ["grant_number", "in_cruz_list"])
 
 
 def format_review_list(spark: SparkSession, zones: Zones, run_ts: datetime) -> int:
     df = _stamped(clean_review_list(readers.read_table(spark, zones.landing(z.REVIEW_LIST))), run_ts)
-    return writers.replace_keyed_table(df, zones.formatted(z.REVIEW_LIST), "award_id")
+    return writers.replace_keyed_table(df, zones.formatted(z.REVIEW_LIST), ["award_id"])
 
 
 def format_legislators(spark: SparkSession, zones: Zones, run_ts: datetime) -> int:
@@ -118,6 +118,7 @@ def validate_formatted(spark: SparkSession, zones: Zones) -> DataFrame:
 
 def duplicates_removed(spark: SparkSession, zones: Zones) -> DataFrame:
     """Rows before and after the award dedupe."""
-    raw = columns.with_canonical_names(readers.read_json_lines(spark, zones.landing(z.AWARDS)), {"id": "award_id"})
-    keys = raw.select(cleaning.clean_id(F.col("award_id")).alias("award_id"))
+    landed = readers.read_json_lines(spark, zones.landing(z.AWARDS), schemas.LANDED_AWARD)
+    raw = columns.with_canonical_names(landed, {"id": "award_id"})
+    keys = columns.require(raw.select(cleaning.clean_id(F.col("award_id")).alias("award_id")), ["award_id"])
     return dedupe.dedupe_report(keys, ["award_id"])

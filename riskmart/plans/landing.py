@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +14,34 @@ from riskmart.sources import readers, schemas
 from riskmart.zones import Zones
 
 
-def audit_awards(spark: SparkSession, source: str, rpp: int = paging.DEFAULT_ROWS_PER_PAGE) -> DataFrame:
-    """Completeness of the downloaded pages per year."""
-    return paging.page_audit(readers.read_pages(spark, source), "year", "offset", "n_rows", "failed", rpp)
+class IncompleteDownload(ValueError):
+    """Pages or whole years are missing; ``audit`` holds one row per year."""
+
+    def __init__(self, audit: list):
+        super().__init__(f"incomplete years: {[r['year'] for r in audit if not r['complete']]}")
+        self.audit = audit
+
+
+@dataclass(frozen=True)
+class LandedAwards:
+    rows: int
+    audit: list  # one row per requested year
+
+
+def audit_awards(
+    spark: SparkSession, source: str, rpp: int = paging.DEFAULT_ROWS_PER_PAGE, years: range | None = None
+) -> DataFrame:
+    """Completeness of the downloaded pages per year; years asked for without any page are listed."""
+    pages = readers.read_pages(spark, source)
+    if years is not None:
+        pages = pages.filter(F.col("year").between(years.start, years.stop - 1))
+    return paging.page_audit(pages, "year", "offset", "n_rows", "failed", rpp, years)
+
+
+def awards_of(pages: DataFrame) -> DataFrame:
+    """All awards, with all their fields, of every page that can be read."""
+    good = paging.readable_pages(pages)
+    return paging.explode_envelope(good, keep=("year",), known=schemas.AWARD_FIELDS, extra=schemas.EXTRA)
 
 
 def land_awards(
@@ -25,20 +52,27 @@ def land_awards(
     end_year: int,
     rpp: int = paging.DEFAULT_ROWS_PER_PAGE,
     overwrite: bool = True,
-) -> int:
-    """Awards of the pages that complete downloads of the years would hold; returns their number.
+    allow_incomplete: bool = False,
+) -> LandedAwards:
+    """Land every readable page of the years; nothing that is there is left out.
 
-    Overwriting replaces the years at hand and leaves the others alone.
+    The audit comes first: if a year has missing, failed, duplicate or misplaced pages, or no page
+    at all, nothing is written and :class:`IncompleteDownload` says which, unless incomplete years
+    are allowed. Overwriting replaces the requested years, empty ones too, and leaves others alone.
     """
     if end_year < start_year:
         raise ValueError("end_year must not be before start_year")
-    years = F.col("year").between(start_year, end_year)
-    every = readers.read_pages(spark, source).filter(years)
-    kept = paging.download_prefix(every, "year", "offset", "n_rows", "failed", rpp)
-    awards = paging.explode_envelope(kept, keep=("year",))
+    years = range(start_year, end_year + 1)
+    audit = audit_awards(spark, source, rpp, years).orderBy("year").collect()  # a row per year
+    if not allow_incomplete and not all(r["complete"] for r in audit):
+        raise IncompleteDownload(audit)
+    awards = awards_of(readers.read_pages(spark, source).filter(F.col("year").between(start_year, end_year)))
     path = zones.landing(z.AWARDS)
+    if overwrite:
+        writers.clear_json_partitions(spark, path, "year", [r["year"] for r in audit if not r["n_rows"]])
     writers.write_json_partitions(awards, path, "year", overwrite)
-    return readers.read_json_lines(spark, path).filter(years).count()
+    landed = readers.read_json_lines(spark, path, schemas.LANDED_AWARD)
+    return LandedAwards(landed.filter(F.col("year").between(start_year, end_year)).count(), audit)
 
 
 def land_csv(spark: SparkSession, zones: Zones, dataset: str, source: str) -> int:

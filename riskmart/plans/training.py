@@ -100,31 +100,16 @@ class Experiment:
             )
         finally:
             fitting.unpersist()
-        valid = models.score(model, parts.filter("part = 'valid'"))
+        valid = models.score(model, parts.filter("part = 'valid'"), self.target)
         found = summarize(valid, "valid")
         self._log(run_name, started, model, found)
         return model, found
 
-    def random_forest(self, run_name: str = "rf_model", grid: Mapping[str, Sequence] | None = None, **params: Any):
-        return self._fit_kind(models.RANDOM_FOREST, run_name, grid, params)
-
-    def logistic_regression(self, run_name: str = "logreg_model", grid: Mapping[str, Sequence] | None = None, **params: Any):
-        return self._fit_kind(models.LOGISTIC, run_name, grid, params)
-
-    def gbt(self, run_name: str = "gbt_model", grid: Mapping[str, Sequence] | None = None, **params: Any):
-        return self._fit_kind(models.GBT, run_name, grid, params)
-
-    def _fit_kind(self, kind: str, run_name: str, grid, params: dict[str, Any]):
-        own = ("train_ratio", "seed", "folds", "parallelism", "partitions")
-        options = {k: params.pop(k) for k in own if k in params}
-        spec = ModelSpec(kind, params, grid or {}, options.get("seed", 42))
-        return self.fit(spec, run_name, **options)
-
     def predict(self, model: PipelineModel, df: DataFrame | None = None) -> DataFrame:
         data = self.test if df is None else df
         if data is None:
             raise ValueError("no test data was loaded")
-        return models.score(model, data.drop(models.WEIGHT), [c for c in (self.key,) if c in data.columns])
+        return models.score(model, data.drop(models.WEIGHT), self.target, [c for c in (self.key,) if c in data.columns])
 
     def evaluate(self, model: PipelineModel) -> dict[str, float | None]:
         """Holdout metrics."""

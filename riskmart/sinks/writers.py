@@ -6,10 +6,10 @@ counters collected while writing they stay exact when lost tasks are run again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,9 +17,15 @@ def count_written(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return df.sparkSession.read.format(fmt).load(path).count()
 
 
+def _replacing(df: DataFrame, fmt: str):
+    """A writer that replaces a table; formats that keep a schema apart from the files replace it too."""
+    writer = df.write.format(fmt).mode("overwrite")
+    return writer if fmt in ("parquet", "json", "csv", "orc") else writer.option("overwriteSchema", "true")
+
+
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Replace the whole table; returns the rows written."""
-    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").save(path)
+    _replacing(df, fmt).save(path)
     return count_written(df, path, fmt)
 
 
@@ -34,7 +40,7 @@ def balanced(df: DataFrame, *by: str) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> None:
     """Replace a table partitioned by ``by``; each partition's rows are written together."""
-    balanced(df, *by).write.format(fmt).mode("overwrite").option("overwriteSchema", "true").partitionBy(*by).save(path)
+    _replacing(balanced(df, *by), fmt).partitionBy(*by).save(path)
 
 
 def write_json_partitions(df: DataFrame, path: str, by: str = "year", overwrite: bool = True) -> None:
@@ -47,17 +53,28 @@ def write_json_partitions(df: DataFrame, path: str, by: str = "year", overwrite:
     writer.json(path)
 
 
-def replace_keyed_table(df: DataFrame, path: str, key: str, partition: str | None = None) -> int:
-    """Replace a Parquet table laid out for lookups by ``key``: sorted files plus a bloom filter.
+def clear_json_partitions(spark: SparkSession, path: str, by: str, values: Iterable) -> None:
+    """Replace partitions by nothing: a dynamic overwrite does not touch those that got no rows."""
+    for value in values:
+        spark.range(0).select("id").write.mode("overwrite").json(f"{path}/{by}={value}")
+
 
-    With ``partition`` the rows of a folder are balanced over files and sorted inside each;
-    without it the files are disjoint key ranges.
+def replace_keyed_table(df: DataFrame, path: str, keys: str | Sequence[str], partition: str | None = None) -> int:
+    """Replace a Parquet table laid out for lookups by ``keys``, those of them that exist.
+
+    Rows are balanced over files by size, so a key value (or null) with a third of the rows is
+    written by as many tasks as it needs. Inside a file they are sorted by the first key, and every
+    key column has a bloom filter.
     """
-    if partition and partition in df.columns:
-        laid_out = balanced(df, partition).sortWithinPartitions(partition, key)
-    else:
-        laid_out, partition = df.repartitionByRange(key).sortWithinPartitions(key), None
-    writer = laid_out.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{key}", "true")
+    names = {c.lower(): c for c in df.columns}
+    tops = [k for k in ([keys] if isinstance(keys, str) else keys) if k.split(".")[0].lower() in names]
+    partition = partition if partition and partition.lower() in names else None
+    first = [partition] if partition else []
+    spread = df.hint("rebalance", *[F.col(c) for c in [*first, *tops[:1]]]) if first or tops else df
+    laid_out = spread.sortWithinPartitions(*first, *tops[:1]) if first or tops else spread
+    writer = laid_out.write.mode("overwrite")
+    for key in tops:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
     if partition:
         writer = writer.partitionBy(partition)
     writer.parquet(path)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,13 +86,18 @@ def read_pages(spark: SparkSession, root: str, schema: T.StructType = schemas.EN
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .json(root)
     )
+    located = pages.withColumn("offset", F.regexp_extract("_metadata.file_name", r"(\d+)\.json", 1).cast("bigint"))
+    return page_columns(located, F.col(schemas.CORRUPT).isNotNull())
+
+
+def page_columns(pages: DataFrame, corrupt: Column | None = None) -> DataFrame:
+    """Parsed pages (``response``, ``year``, ``offset``) with ``n_rows`` and ``failed``."""
     response = F.col("response")
+    bad = response.isNull() | F.col("response.serviceNotification").isNotNull()
     return pages.select(
         response,
         "year",
-        F.regexp_extract("_metadata.file_name", r"(\d+)\.json", 1).cast("bigint").alias("offset"),
+        "offset",
         F.coalesce(F.array_size("response.award"), F.lit(0)).alias("n_rows"),
-        (F.col(schemas.CORRUPT).isNotNull() | response.isNull() | F.col("response.serviceNotification").isNotNull()).alias(
-            "failed"
-        ),
+        (bad if corrupt is None else corrupt | bad).alias("failed"),
     )

@@ -12,7 +12,14 @@ AWARD_FIELDS = (
     "projectOutComesReport", "title", "transType", "abstract", "abstractText",
 )
 
-AWARD = T.StructType([T.StructField(name, T.StringType()) for name in AWARD_FIELDS])
+# Fields that are not listed above; nested values as JSON text.
+EXTRA = "extra"
+
+# A landed award: the listed fields, and every other one in a map.
+AWARD = T.StructType(
+    [*[T.StructField(name, T.StringType()) for name in AWARD_FIELDS], T.StructField(EXTRA, T.MapType(T.StringType(), T.StringType()))]
+)
+LANDED_AWARD = T.StructType([*AWARD.fields, T.StructField("year", T.IntegerType())])
 
 ENVELOPE = T.StructType(
     [
@@ -20,7 +27,7 @@ ENVELOPE = T.StructType(
             "response",
             T.StructType(
                 [
-                    T.StructField("award", T.ArrayType(AWARD)),
+                    T.StructField("award", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
                     T.StructField("serviceNotification", T.StringType()),
                 ]
             ),

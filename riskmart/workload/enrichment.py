@@ -103,7 +103,7 @@ def lexicon_features(t):
 
 @query("lexicon_features_large", f"WITH {_features_sql(WORD_TABLE_SQL)} SELECT * FROM feat")
 def lexicon_features_large(t):
-    made = lexicon.lexicon_features_by_join(titled_documents(t), "doc_id", word_table(t))
+    made = lexicon.lexicon_features_by_join(titled_documents(t), word_table(t))
     return _rounded(made).select("doc_id", *lexicon.FEATURES)
 
 
@@ -125,6 +125,25 @@ def lexicon_phrases(t):
     return made.select("doc_id", F.col("flagged_word_count_abstract").alias("n_hits"))
 
 
+_PHRASES_SQL = r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents),
+             p AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws))) AS i FROM w),
+             m AS (SELECT doc_id, unnest([ws[i], ws[i] || ' ' || ws[i + 1], ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]])
+                          AS g FROM p)
+        SELECT w.doc_id, CAST(count(g) FILTER (g IN (SELECT unnest(%s))) AS INTEGER) AS n_hits
+        FROM w LEFT JOIN m USING (doc_id) GROUP BY w.doc_id"""
+
+
+@query("lexicon_phrases_large", _PHRASES_SQL % str(list(_PHRASES)))
+def lexicon_phrases_large(t):
+    """The phrases as a table, matched by the join form past the broadcast bound: the answer of the inline form."""
+    rows = [(f" {p.upper()}\t",) for p in _PHRASES] + [(None,), ("",)]
+    table = t.spark.createDataFrame(rows, "flagged_word string")
+    made = lexicon.lexicon_features_by_join(
+        documents(t), table, abstract="text", broadcast_rows=0, phrases=True
+    )
+    return made.select("doc_id", F.col("flagged_word_count_abstract").alias("n_hits"))
+
+
 @query(
     "lexicon_coverage",
     f"WITH {_features_sql(_INLINE_WORDS)} SELECT count(*) FILTER (has_flagged_words) AS n_hit, count(*) AS n_rows FROM feat",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskmart.operators import intervals, pages
+from riskmart.plans import landing
+from riskmart.sources import readers, schemas
 from riskmart.workload.registry import query
 from riskmart.workload.standins import DAILY_PAGES_SQL, daily_pages
 
@@ -48,29 +50,47 @@ def json_field(t):
 @query(
     "page_audit",
     f"""WITH p AS ({DAILY_PAGES_SQL}),
-        a AS (SELECT feed, count(*) AS n_pages, CAST(sum(n_rows) AS BIGINT) AS n_rows, max("offset") AS last_offset,
-                     count(*) FILTER (failed) AS failed_pages, count(*) FILTER (n_rows < 25) AS n_short,
-                     arg_max(n_rows < 25, "offset") AS ends_short FROM p GROUP BY feed),
-        b AS (SELECT *, last_offset // 25 + 1 - n_pages AS missing_pages,
+        o AS (SELECT feed, "offset", count(*) AS copies, bool_and(failed) AS failed,
+                     max(n_rows) FILTER (NOT failed) AS rows, coalesce(sum(n_rows) FILTER (NOT failed), 0) AS every
+              FROM p GROUP BY feed, "offset"),
+        a AS (SELECT feed, count(*) AS n_pages, CAST(sum(every) AS BIGINT) AS n_rows,
+                     max("offset") FILTER ("offset" % 25 = 0) AS last_offset, count(*) FILTER (failed) AS failed_pages,
+                     CAST(sum(copies - 1) AS BIGINT) AS duplicate_pages, count(*) FILTER ("offset" % 25 <> 0) AS misaligned_pages,
+                     count(*) FILTER ("offset" % 25 = 0) AS aligned, count(*) FILTER (NOT failed AND rows < 25) AS n_short,
+                     arg_max(coalesce(NOT failed AND rows < 25, false), "offset") AS ends_short FROM o GROUP BY feed),
+        b AS (SELECT *, coalesce(last_offset // 25 + 1 - aligned, 0) AS missing_pages,
                      n_short - CAST(ends_short AS INTEGER) AS early_short_pages FROM a)
-        SELECT feed, n_pages, n_rows, last_offset, failed_pages, ends_short, missing_pages, early_short_pages,
-               ends_short AND early_short_pages = 0 AND missing_pages = 0 AND failed_pages = 0 AS complete FROM b""",
+        SELECT feed, n_pages, n_rows, last_offset, failed_pages, duplicate_pages, misaligned_pages, ends_short, missing_pages,
+               early_short_pages, ends_short AND early_short_pages = 0 AND missing_pages = 0 AND failed_pages = 0
+               AND duplicate_pages = 0 AND misaligned_pages = 0 AS complete FROM b""",
 )
 def page_audit(t):
     return pages.page_audit(daily_pages(t), "feed", "offset", "n_rows", "failed")
 
 
 @query(
-    "page_prefix",
-    f"""WITH p AS ({DAILY_PAGES_SQL}),
-        n AS (SELECT p.*, EXISTS (SELECT 1 FROM p q WHERE q.feed = p.feed AND q."offset" = p."offset" + 25) AS has_next
-              FROM p),
-        e AS (SELECT feed, min("offset") FILTER (failed OR n_rows < 25 OR NOT has_next) AS last_offset FROM n GROUP BY feed)
-        SELECT p.feed, p."offset", p.n_rows FROM p JOIN e USING (feed) WHERE NOT failed AND p."offset" <= e.last_offset""",
+    "page_landing",
+    """WITH e AS (SELECT *, event_id // 25 AS page, CAST(ts AS DATE) AS feed FROM events),
+            p AS (SELECT feed, page FROM e GROUP BY feed, page HAVING count(*) FILTER (event_type = 'error') < 10)
+       SELECT e.feed, CAST(event_id AS VARCHAR) AS id, event_type AS agency, CAST(user_id AS VARCHAR) AS extra_user
+       FROM e JOIN p USING (feed, page)""",
 )
-def page_prefix(t):
-    kept = pages.download_prefix(daily_pages(t), "feed", "offset", "n_rows", "failed")
-    return kept.select("feed", "offset", "n_rows")
+def page_landing(t):
+    """Events as the awards of daily page files: every row of every readable page, listed fields and others."""
+    award = F.map_from_arrays(
+        F.array(F.lit("id"), F.lit("agency"), F.lit("user")),
+        F.array(F.col("event_id").cast("string"), F.col("event_type"), F.col("user_id").cast("string")),
+    )
+    bodies = (
+        t.events.groupBy(F.to_date("ts").alias("year"), F.floor(F.col("event_id") / 25).alias("offset"))
+        .agg(F.collect_list(award).alias("award"), F.count_if(F.col("event_type") == "error").alias("errors"))
+        .select("year", "offset", F.to_json(F.struct(F.struct(
+            F.when(F.col("errors") < 10, F.col("award")).alias("award"),
+            F.when(F.col("errors") >= 10, F.lit("rate limited")).alias("serviceNotification"),
+        ).alias("response"))).alias("body"))
+    )
+    read = readers.page_columns(bodies.select("year", "offset", F.from_json("body", schemas.ENVELOPE).alias("e")).select("year", "offset", "e.*"))
+    return landing.awards_of(read).select(F.col("year").alias("feed"), "id", "agency", F.col("extra")["user"].alias("extra_user"))
 
 
 @query(

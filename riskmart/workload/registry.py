@@ -22,16 +22,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._path}/{name}.parquet")
 
-    def spread(self, name: str, key: list[str], columns: list[str]) -> DataFrame:
-        """The named columns of a table, ready for expensive expressions on every core.
-
-        Only a table with fewer input splits than the cluster has cores is redistributed (by
-        its unique key); a large one is read as it lies, without a shuffle.
-        """
-        df = getattr(self, name).select(*key, *[c for c in columns if c not in key])
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
-
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under a name, with its SQL twin if it has one."""

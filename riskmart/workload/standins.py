@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.operators.joins import lookup_join
 from riskmart.workload.registry import Tables
 
 # A list of words frequent in the supplied texts (the public list has no hit in them).
@@ -23,11 +22,11 @@ MODEL_SCORES = {
 
 
 def _lines(t: Tables, *columns: str) -> DataFrame:
-    return t.spread("lineitem", ["l_orderkey", "l_linenumber"], list(columns))
+    return t.lineitem.select(*columns)
 
 
 def documents(t: Tables) -> DataFrame:
-    return t.spread("documents", ["doc_id"], ["text"])
+    return t.documents.select("doc_id", "text")
 
 
 def terms(t: Tables) -> DataFrame:
@@ -167,23 +166,32 @@ FROM events GROUP BY user_id"""
 def daily_pages(t: Tables, rpp: int = 25) -> DataFrame:
     """Events as one paged feed per day: 25 consecutive event ids make a page.
 
-    A page counts as failed when errors make up two fifths of it.
+    A page counts as failed when errors make up two fifths of it. Every 7th page was downloaded
+    twice, every 11th got lost and every 13th lies off the grid.
     """
     pages = (
         t.events.groupBy(F.to_date("ts").alias("feed"), F.floor(F.col("event_id") / rpp).alias("page"))
         .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("event_type") == "error").alias("n_errors"))
     )
     first = pages.groupBy("feed").agg(F.min("page").alias("first_page"))
-    return lookup_join(pages, first, ["feed"], "inner").select(
-        "feed",
-        ((F.col("page") - F.col("first_page")) * rpp).alias("offset"),
-        "n_rows",
-        (F.col("n_errors") >= 10).alias("failed"),
+    return (
+        pages.join(first, "feed")
+        .filter("page % 11 <> 5")
+        .withColumn("copy", F.explode(F.expr("if(page % 7 = 3, array(1, 2), array(1))")))
+        .select(
+            "feed",
+            ((F.col("page") - F.col("first_page")) * rpp + F.when(F.col("page") % 13 == 4, 10).otherwise(0)).alias("offset"),
+            "n_rows",
+            (F.col("n_errors") >= 10).alias("failed"),
+        )
     )
 
 
 DAILY_PAGES_SQL = """
-SELECT feed, (page - min(page) OVER (PARTITION BY feed)) * 25 AS "offset", n_rows, n_errors >= 10 AS failed
-FROM (SELECT CAST(ts AS DATE) AS feed, event_id // 25 AS page, count(*) AS n_rows,
-             count(*) FILTER (event_type = 'error') AS n_errors
-      FROM events GROUP BY ALL)"""
+SELECT feed, (page - first_page) * 25 + CASE WHEN page % 13 = 4 THEN 10 ELSE 0 END AS "offset", n_rows, n_errors >= 10 AS failed
+FROM (SELECT *, min(page) OVER (PARTITION BY feed) AS first_page FROM (
+        SELECT CAST(ts AS DATE) AS feed, event_id // 25 AS page, count(*) AS n_rows,
+               count(*) FILTER (event_type = 'error') AS n_errors
+        FROM events GROUP BY ALL)),
+     (SELECT unnest([1, 2]) AS copy)
+WHERE page % 11 <> 5 AND (copy = 1 OR page % 7 = 3)"""

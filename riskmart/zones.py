@@ -23,7 +23,10 @@ class Zones:
 
     @classmethod
     def from_env(cls) -> "Zones":
-        return cls(os.environ.get("RISKMART_ROOT", "lake"), os.environ.get("RISKMART_FORMAT", "parquet"))
+        root = os.environ.get("RISKMART_ROOT")
+        if not root:
+            raise ValueError("set RISKMART_ROOT to the lake's root, a path that all executors share")
+        return cls(root, os.environ.get("RISKMART_FORMAT", "parquet"))
 
     def landing(self, dataset: str) -> str:
         return f"{self.root}/landing/{dataset}"

@@ -111,6 +111,8 @@ def test_canonical_names_are_unique_and_stable(names):
 
 def test_rename_and_project(spark):
     df = spark.createDataFrame([(1, 2, 3)], "` ID ` int, `a b` int, `a-b` int")
+    both = columns.canonical_names(["id", "Award ID", "x"], {"id": "award_id"})
+    assert both == ["award_id_2", "award_id", "x"]
     named = columns.with_canonical_names(df, {"id": "award_id"})
     assert named.columns == ["award_id", "a_b", "a_b_2"]
     assert columns.select_existing(named, ["zzz", "a_b_2", "award_id"]).columns == ["a_b_2", "award_id"]

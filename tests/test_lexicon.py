@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from riskmart.functions.text import FLAGGED_WORDS, word_count, words
+from riskmart.functions.text import word_count, words
 from riskmart.operators import lexicon
 
 LEX = ["bias", "equity", "équité", "hate speech", "Gender"]
@@ -53,13 +53,17 @@ def test_features(spark):
 
 
 def test_join_form_agrees(spark):
-    table = spark.createDataFrame([(w,) for w in [*LEX, " BIAS ", None]], "flagged_word string")
-    for limit in (100, 0):
-        got = lexicon.lexicon_features_by_join(frame(spark), "i", table, broadcast_rows=limit)
-        assert rows(got, "i", *lexicon.FEATURES) == expected(False)
-    assert [t for _, t in got.select(*lexicon.FEATURES).dtypes] == [
-        t for _, t in lexicon.lexicon_features(frame(spark), LEX).select(*lexicon.FEATURES).dtypes
-    ]
+    """Across the limit: any list, either form, phrases or not, the same rows."""
+    entries = [*LEX, " BIAS ", "bias\t", "hate\u00a0 speech", None, ""]
+    table = spark.createDataFrame([(w,) for w in entries], "flagged_word string")
+    twice = frame(spark).union(frame(spark))  # no key is unique
+    for phrases in (False, True):
+        inline = lexicon.lexicon_features(twice, [w for w in entries if w], phrases=phrases)
+        assert rows(inline, "i", *lexicon.FEATURES) == sorted(expected(phrases) * 2, key=repr)
+        for limit in (100, 0):
+            got = lexicon.lexicon_features_by_join(twice, table, broadcast_rows=limit, phrases=phrases)
+            assert rows(got, "i", *lexicon.FEATURES) == rows(inline, "i", *lexicon.FEATURES)
+    assert lexicon.lexicon_features_by_join(frame(spark).drop("abstract", "title"), table).columns == ["i", *lexicon.FEATURES]
 
 
 def test_absent_columns_and_empty_lexicon(spark):
@@ -76,10 +80,6 @@ def test_small_lexicon(spark):
     assert lexicon.small_lexicon(table, limit=1) is None
 
 
-def test_public_word_list():
-    assert len(FLAGGED_WORDS) == 54 and sum(" " in w for w in FLAGGED_WORDS) == 11
-
-
 @given(st.lists(st.text(alphabet="aB é_1ß-.,\n٣Ⅷ", max_size=30), min_size=1, max_size=20))
 @settings(max_examples=15, deadline=None)
 def test_words_match_python(spark, texts):

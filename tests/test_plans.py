@@ -69,8 +69,8 @@ def lake(spark, tmp_path_factory):
     ]
     (raw / "people.json").write_text(json.dumps(people))
     source = str(raw / "pages")
-    assert landing.land_awards(spark, zones, source, 2022, 2023) == 242
-    assert landing.land_awards(spark, zones, source, 2022, 2022) == 121
+    assert landing.land_awards(spark, zones, source, 2022, 2023).rows == 242
+    assert landing.land_awards(spark, zones, source, 2022, 2022).rows == 121
     assert landing.land_csv(spark, zones, z.TERMINATED, str(raw / "terminated.csv")) == 48
     assert landing.land_csv(spark, zones, z.REVIEW_LIST, str(raw / "review.csv")) == 40
     assert landing.land_csv(spark, zones, z.LEXICON, str(raw / "lexicon.csv")) == 5
@@ -203,7 +203,7 @@ def test_experiment_guards_and_saved_model(spark, built):
         ModelSpec("svm")
     train = training.feature_frame(readers.load_train(spark, zones))
     experiment.load(train)
-    model, found = experiment.logistic_regression("lr", maxIter=3, partitions=2)
+    model, found = experiment.fit(ModelSpec(models.LOGISTIC, {"maxIter": 3}), "lr", partitions=2)
     assert set(found) == {f"valid_{m}" for m in training.METRICS}
     with pytest.raises(ValueError):
         experiment.evaluate(model)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from riskmart.operators import pages as paging
+from riskmart.plans import landing
 from riskmart.sinks import writers
 from riskmart.sources import readers, schemas
 from riskmart.zones import Zones
@@ -133,16 +134,66 @@ def test_pages(spark, tmp_path):
     pages = readers.read_pages(spark, page_files(tmp_path / "pages", SPEC))
     got = {(r["year"], r["offset"]): (r["n_rows"], r["failed"]) for r in pages.collect()}
     assert got[(2020, 10)] == (2, False) and got[(2023, 5)] == (0, True) and got[(2024, 0)] == (0, True)
-    kept = paging.download_prefix(pages, "year", "offset", "n_rows", "failed", 5)
-    assert rows(kept, "year", "offset") == [
-        (2020, 0), (2020, 10), (2020, 5), (2021, 0), (2021, 5), (2022, 0), (2023, 0), (2025, 0), (2025, 5)
-    ]
-    awards = paging.explode_envelope(kept, keep=("year",))
-    assert dict(rows(awards.groupBy("year").count())) == {2020: 12, 2021: 10, 2022: 5, 2023: 5, 2025: 8}
-    audit = {r["year"]: r for r in paging.page_audit(pages, "year", "offset", "n_rows", "failed", 5).collect()}
+    # Every readable page is kept: after a hole, after a failed page, and without a first page.
+    awards = landing.awards_of(pages)
+    assert dict(rows(awards.groupBy("year").count())) == {2020: 12, 2021: 10, 2022: 11, 2023: 10, 2024: 5, 2025: 13, 2026: 6}
+    audited = paging.page_audit(pages, "year", "offset", "n_rows", "failed", 5, range(2020, 2028))
+    audit = {r["year"]: r for r in audited.collect()}
     assert {y for y, r in audit.items() if r["complete"]} == {2020, 2021}
-    assert audit[2022]["missing_pages"] == 1 and audit[2023]["failed_pages"] == 1
+    assert audit[2022]["missing_pages"] == 1 and audit[2023]["failed_pages"] == 1 and audit[2023]["early_short_pages"] == 0
     assert audit[2025]["early_short_pages"] == 1 and audit[2026]["missing_pages"] == 1
+    assert (audit[2027]["n_pages"], audit[2027]["n_rows"], audit[2027]["complete"]) == (0, 0, False)
+
+
+def test_audit_of_duplicate_and_misplaced_pages(spark):
+    rows_ = [("a", 0, 25, False), ("a", 0, 25, False), ("a", 50, 3, False), ("b", 0, 25, False), ("b", 30, 2, False),
+             ("c", 0, 0, True), ("c", 0, 25, False), ("c", 25, 1, False)]
+    pages = spark.createDataFrame(rows_, "feed string, offset long, n_rows int, failed boolean")
+    audit = {r["feed"]: r for r in paging.page_audit(pages, "feed", "offset", "n_rows", "failed").collect()}
+    assert (audit["a"]["duplicate_pages"], audit["a"]["missing_pages"], audit["a"]["complete"]) == (1, 1, False)
+    assert (audit["b"]["misaligned_pages"], audit["b"]["complete"]) == (1, False)
+    assert (audit["c"]["failed_pages"], audit["c"]["n_rows"], audit["c"]["duplicate_pages"]) == (0, 26, 1)
+
+
+def test_landing_keeps_fields_and_tells_what_is_missing(spark, tmp_path):
+    source, zones = page_files(tmp_path / "pages", SPEC), Zones(str(tmp_path / "lake"))
+    extra = {"response": {"award": [{"id": "x", "title": "t", "piEmail": "a@b", "cfda": ["1", "2"], "nested": {"k": 1}}]}}
+    folder = tmp_path / "pages" / "year=2019"
+    folder.mkdir()
+    (folder / "0.json").write_text(json.dumps(extra))
+    landed = landing.land_awards(spark, zones, source, 2019, 2021, rpp=5)
+    assert landed.rows == 23 and all(r["complete"] for r in landed.audit)
+    table = readers.read_json_lines(spark, zones.landing("awards"), schemas.LANDED_AWARD)
+    kept = table.filter("id = 'x'").first()["extra"]
+    assert kept["piEmail"] == "a@b" and json.loads(kept["cfda"]) == ["1", "2"] and json.loads(kept["nested"]) == {"k": 1}
+    with pytest.raises(landing.IncompleteDownload) as error:
+        landing.land_awards(spark, zones, source, 2021, 2023, rpp=5)
+    assert [r["year"] for r in error.value.audit if not r["complete"]] == [2022, 2023]
+    with pytest.raises(landing.IncompleteDownload):
+        landing.land_awards(spark, zones, source, 2017, 2017, rpp=5)  # a year without any file
+    assert landing.land_awards(spark, zones, source, 2022, 2023, rpp=5, allow_incomplete=True).rows == 21
+    # A year whose new download yields nothing loses its old rows; other years stay.
+    (tmp_path / "pages" / "year=2020" / "0.json").write_text("{")
+    for name in ("5", "10"):
+        (tmp_path / "pages" / "year=2020" / f"{name}.json").write_text('{"response": {"award": []}}')
+    assert landing.land_awards(spark, zones, source, 2020, 2020, rpp=5, allow_incomplete=True).rows == 0
+    counts = dict(rows(readers.read_json_lines(spark, zones.landing("awards"), schemas.LANDED_AWARD).groupBy("year").count()))
+    assert counts == {2019: 1, 2021: 10, 2022: 11, 2023: 10}
+
+
+def test_keyed_table_tolerates_absent_and_hot_keys(spark, tmp_path):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, null, concat('k', id)) as award_id", "id % 2 = 0 as in_cruz_list", "id as n")
+    path = str(tmp_path / "keyed")
+    assert writers.replace_keyed_table(df, path, ["award_id", "in_cruz_list", "nowhere"]) == 3000
+    assert spark.read.parquet(path).filter("award_id is null").count() == 1000
+    assert writers.replace_keyed_table(df.select("n"), path, ["award_id"], "year") == 3000
+    assert writers.replace_keyed_table(df.limit(0), path, ["award_id"]) == 0
+
+
+def test_the_lake_root_is_required(monkeypatch):
+    monkeypatch.delenv("RISKMART_ROOT", raising=False)
+    with pytest.raises(ValueError):
+        Zones.from_env()
 
 
 def test_zone_paths(monkeypatch):
