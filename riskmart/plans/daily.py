@@ -35,4 +35,5 @@ def run(
         landed[dataset] = landing.land_csv(spark, zones, dataset, sources[dataset])
     landed[z.LEGISLATORS] = landing.land_legislators(spark, zones, sources[z.LEGISLATORS])
     formatted = formatting.format_all(spark, zones, run_ts)
-    return {"landed": landed, "formatted": formatted, "integrated": exploitation.build_exploitation(spark, zones)}
+    rejected = formatting.rejected(spark, zones)
+    return {"landed": landed, "formatted": formatted, "rejected": rejected, "integrated": exploitation.build_exploitation(spark, zones)}

@@ -15,11 +15,11 @@ from riskmart.sources import readers, schemas
 from riskmart.zones import Zones
 
 
-def clean_awards(raw: DataFrame) -> DataFrame:
-    """Canonical names, parsed dates and money, clean ids, the latest row per award."""
+def typed_awards(raw: DataFrame) -> DataFrame:
+    """Canonical names, parsed dates and money, clean ids."""
     df = columns.with_canonical_names(raw, {"id": "award_id"})
     df = columns.parse_date_columns(df)
-    df = columns.apply_if_present(
+    return columns.apply_if_present(
         df,
         {
             "estimated_total_amt": ("estimatedtotalamt", cleaning.try_double),
@@ -27,10 +27,20 @@ def clean_awards(raw: DataFrame) -> DataFrame:
             "award_id": ("award_id", cleaning.clean_id),
         },
     )
+
+
+def clean_awards(raw: DataFrame) -> DataFrame:
+    """Typed awards that have an id, the latest row of each."""
+    df = typed_awards(raw)
     if "award_id" not in df.columns:
         return df
     latest = [c for c in ("date", "year") if c in df.columns]
-    return dedupe.dedupe_latest(columns.require(df, ["award_id"]), ["award_id"], latest)
+    return dedupe.dedupe_latest(dedupe.split_rejects(df, award_rules())[0], ["award_id"], latest)
+
+
+def award_rules() -> dict:
+    """What an award must satisfy to be loaded, by the reason for rejecting it."""
+    return {"missing award_id": F.col("award_id").isNotNull()}
 
 
 def clean_terminated(raw: DataFrame) -> DataFrame:
@@ -73,6 +83,8 @@ def _stamped(df: DataFrame, run_ts: datetime) -> DataFrame:
 def format_awards(spark: SparkSession, zones: Zones, run_ts: datetime, schema=schemas.LANDED_AWARD) -> int:
     raw = readers.read_json_lines(spark, zones.landing(z.AWARDS), schema)
     df = _stamped(clean_awards(raw), run_ts)
+    bad = dedupe.split_rejects(typed_awards(raw), award_rules())[1]
+    writers.replace_table(_stamped(bad, run_ts), zones.rejects("formatting", z.AWARDS))
     return writers.replace_keyed_table(df, zones.formatted(z.AWARDS), ["award_id"], "year")
 
 
@@ -122,3 +134,14 @@ def duplicates_removed(spark: SparkSession, zones: Zones) -> DataFrame:
     raw = columns.with_canonical_names(landed, {"id": "award_id"})
     keys = columns.require(raw.select(cleaning.clean_id(F.col("award_id")).alias("award_id")), ["award_id"])
     return dedupe.dedupe_report(keys, ["award_id"])
+
+
+def rejected(spark: SparkSession, zones: Zones) -> dict[str, int]:
+    """Rows per dataset that landing and formatting set aside; the tables hold them with their reasons."""
+    found: dict[str, int] = {}
+    for step in ("landing", "formatting"):
+        for name in z.DATASETS:
+            table = readers.read_optional(spark, zones.rejects(step, name))
+            if table is not None:
+                found[name] = found.get(name, 0) + table.count()
+    return found

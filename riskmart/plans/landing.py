@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart import zones as z
+from riskmart.operators import dedupe
 from riskmart.operators import pages as paging
 from riskmart.sinks import writers
 from riskmart.sources import readers, schemas
@@ -76,8 +77,12 @@ def land_awards(
 
 
 def land_csv(spark: SparkSession, zones: Zones, dataset: str, source: str) -> int:
-    """A flat list (terminated, review list, lexicon) as Parquet."""
-    return writers.replace_table(readers.read_csv(spark, source), zones.landing(dataset))
+    """A flat list (terminated, review list, lexicon) as Parquet; malformed records go to the reject table."""
+    raw = readers.read_csv(spark, source)
+    rules = {"malformed record": F.col(schemas.CORRUPT).isNull()}
+    good, bad = dedupe.split_rejects(raw, rules)
+    writers.replace_table(bad, zones.rejects("landing", dataset))
+    return writers.replace_table(good.drop(schemas.CORRUPT), zones.landing(dataset))
 
 
 def land_legislators(spark: SparkSession, zones: Zones, source: str) -> int:

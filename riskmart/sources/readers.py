@@ -11,13 +11,24 @@ from riskmart.sources import schemas
 from riskmart.zones import Zones
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, every column as text.
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header, every column as text, and malformed records whole in ``_corrupt_record``.
 
-    Without type inference the file is read once and identifiers keep their leading zeros;
-    typing is left to the cleaning rules.
+    A record with too few or too many fields is malformed. Without type inference the values are read
+    once and identifiers keep their leading zeros; typing is left to the cleaning rules. Quoted line
+    breaks need ``multi_line``, which reads a file in one task: right for lists; pass False for
+    files that must be split and have none.
     """
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    names = spark.read.option("header", True).csv(path).columns
+    schema = schemas.with_corrupt(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
+        .csv(path)
+    )
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -28,6 +28,17 @@ def membership_flag(t):
     return membership.membership_flag(t.documents.select("doc_id", "lang"), listed, "doc_id", "k", "in_cruz_list")
 
 
+@query(
+    "membership_flag_shuffled",
+    """SELECT doc_id, lang, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS in_cruz_list FROM documents""",
+)
+def membership_flag_shuffled(t):
+    """The same flag by salted shuffle, as for a list past the broadcast bound."""
+    listed = _padded(t, F.col("quality") == 1)
+    fact = t.documents.select("doc_id", "lang")
+    return membership.membership_flag(fact, listed, "doc_id", "k", "in_cruz_list", broadcast_rows=0)
+
+
 @query(
     "label_flag",
     """SELECT doc_id, source, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS is_terminated FROM documents""",

@@ -34,6 +34,9 @@ class Zones:
     def formatted(self, dataset: str) -> str:
         return f"{self.root}/formatted/{dataset}"
 
+    def rejects(self, step: str, dataset: str) -> str:
+        return f"{self.root}/rejects/{step}/{dataset}"
+
     @property
     def exploitation(self) -> str:
         return f"{self.root}/exploitation/grants"

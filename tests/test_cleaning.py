@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from riskmart.functions import cleaning as c
 from riskmart.functions import numeric
-from riskmart.operators.joins import BROADCAST_BYTES, _hot_keys, fits, lookup_join, measure
+from riskmart.operators.joins import BROADCAST_BYTES, _hot_keys, _salt, fits, lookup_join, measure
 from riskmart.operators import columns, dedupe, features, membership, profile, split
 
 
@@ -192,20 +192,31 @@ def test_broadcast_needs_both_bounds(spark):
     assert not fits((5, 10), 10, times=3)
 
 
-def test_hot_keys_are_few_and_spread_by_share(spark):
+def test_hot_keys_are_few_and_spread_by_bytes(spark):
     fact = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert rows(_hot_keys(fact, ["k"], 100)) == [("hot", 34)]
+    assert rows(_hot_keys(fact, ["k"], 30)) == [("hot", 30)]  # 300 rows of 3 bytes
     assert _hot_keys(spark.range(50).withColumnRenamed("id", "k"), ["k"], 1024).count() == 0
     assert _hot_keys(fact.filter("false"), ["k"], 10).count() == 0
 
 
+def test_nested_and_binary_columns_have_their_real_size(spark):
+    df = spark.sql("select binary('abcd') b, array(1, 2) a, map('k', 'v') m, 1L n")
+    assert measure(df) == (1, 4 + len('{"a":[1,2]}') + len('{"m":{"k":"v"}}') + 8)
+
+
+def test_a_hot_key_spreads_though_its_rows_come_in_one_partition(spark):
+    fact = spark.range(3000).selectExpr("if(id < 2000, 'hot', concat('k', id)) as k", "id as v").repartition(4, "k")
+    salts = fact.filter("k = 'hot'").select(_salt(fact, F.lit(16)).alias("s")).groupBy("s").count()
+    assert salts.count() == 16 and salts.agg(F.max("count")).first()[0] < 250
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_salted_join_is_the_plain_join(spark, how):
     fact = spark.createDataFrame([(k, i) for i, k in enumerate([None, "a", "a", "a", "b", "z", None] * 9)], "k string, i int")
     lookup = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
     plain = rows(fact.join(lookup, "k", how))
     for limit in (0, 10):
-        assert rows(lookup_join(fact.repartition(5), lookup, ["k"], how, broadcast_rows=limit, splits=4)) == plain
+        assert rows(lookup_join(fact.repartition(5), lookup, ["k"], how, broadcast_rows=limit, task_bytes=40)) == plain
     with pytest.raises(ValueError):
         lookup_join(fact, lookup, ["k"], "full")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from riskmart.operators import pages as paging
-from riskmart.plans import landing
+from riskmart.plans import formatting, landing
 from riskmart.sinks import writers
 from riskmart.sources import readers, schemas
 from riskmart.zones import Zones
@@ -18,7 +18,8 @@ def test_csv_keeps_leading_zeros(spark, tmp_path):
     path = tmp_path / "list.csv"
     path.write_text("Award ID,Total Award\n0123456,1\n\"9,9\",x\n")
     df = readers.read_csv(spark, str(path))
-    assert df.columns == ["Award ID", "Total Award"]
+    assert df.columns == ["Award ID", "Total Award", schemas.CORRUPT]
+    df = df.drop(schemas.CORRUPT)
     assert rows(df) == [("0123456", "1"), ("9,9", "x")]
 
 
@@ -190,6 +191,16 @@ def test_keyed_table_tolerates_absent_and_hot_keys(spark, tmp_path):
     assert writers.replace_keyed_table(df.limit(0), path, ["award_id"]) == 0
 
 
+def test_malformed_records_are_set_aside(spark, tmp_path):
+    path, zones = tmp_path / "list.csv", Zones(str(tmp_path / "lake"))
+    path.write_text('Award ID,Note\n1,a\n2\n3,b,c\n4,"two\nlines"\n')
+    assert landing.land_csv(spark, zones, "review_list", str(path)) == 2
+    assert rows(readers.read_table(spark, zones.landing("review_list"))) == [("1", "a"), ("4", "two\nlines")]
+    bad = readers.read_table(spark, zones.rejects("landing", "review_list"))
+    assert rows(bad, schemas.CORRUPT, "reject_reason") == [("2", "malformed record"), ("3,b,c", "malformed record")]
+    assert formatting.rejected(spark, zones) == {"review_list": 2}
+
+
 def test_the_lake_root_is_required(monkeypatch):
     monkeypatch.delenv("RISKMART_ROOT", raising=False)
     with pytest.raises(ValueError):
