@@ -17,7 +17,9 @@ from riskmart.functions.numeric import ratio_or_null, ratio_or_zero
 
 def _confusion_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
     actual, predicted = F.col("label") == 1, F.col("prediction") == 1
+    score = F.col("score").cast("double") if "score" in df.columns else F.lit(0.0)
     return df.groupBy(*by).agg(
+        F.count_if(score.isNull() | F.isnan(score)).alias("n_unscored"),
         F.count_if(actual & predicted).alias("tp"),
         F.count_if(~actual & predicted).alias("fp"),
         F.count_if(actual & ~predicted).alias("fn"),
@@ -26,7 +28,11 @@ def _confusion_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def binary_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, and precision, recall and F1 of class 1 (0 where undefined), in one pass."""
+    """Accuracy, and precision, recall and F1 of class 1 (0 where undefined), in one pass.
+
+    ``n_unscored`` rows have a prediction but no score (null or NaN): they count here and are in no
+    curve or area.
+    """
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return _confusion_counts(df, by).select(
         *by,
@@ -35,6 +41,7 @@ def binary_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         ratio_or_zero(tp, tp + fp).alias("precision"),
         ratio_or_zero(tp, tp + fn).alias("recall"),
         ratio_or_zero(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
+        "n_unscored",
     )
 
 
@@ -188,6 +195,8 @@ def model_comparison(df: DataFrame, buckets: int = 512) -> DataFrame:
         on("test", "recall", "test_recall"),
         on("test", "f1_score", "test_f1"),
         on("test", "auc_roc", "test_auc_roc"),
+        on("valid", "n_unscored", "val_unscored"),
+        on("test", "n_unscored", "test_unscored"),
     )
     return per_model.withColumn(
         "position", F.rank().over(Window.orderBy(F.col("test_auc_roc").desc_nulls_last(), "model"))

@@ -18,10 +18,11 @@ def _rounded(df, *names, digits=6):
 _METRICS_SQL = f"""
 SELECT model, split, tp, fp, fn, tn, (tp + tn)::DOUBLE / (tp + fp + fn + tn) AS accuracy,
        coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0) AS precision, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0) AS recall,
-       coalesce(2 * tp::DOUBLE / nullif(2 * tp + fp + fn, 0), 0) AS f1_score
+       coalesce(2 * tp::DOUBLE / nullif(2 * tp + fp + fn, 0), 0) AS f1_score, n_unscored
 FROM (SELECT model, split, count(*) FILTER (label = 1 AND prediction = 1) AS tp,
              count(*) FILTER (label = 0 AND prediction = 1) AS fp, count(*) FILTER (label = 1 AND prediction = 0) AS fn,
-             count(*) FILTER (label = 0 AND prediction = 0) AS tn FROM p GROUP BY model, split)"""
+             count(*) FILTER (label = 0 AND prediction = 0) AS tn,
+             count(*) FILTER (score IS NULL OR isnan(score)) AS n_unscored FROM p GROUP BY model, split)"""
 
 _CURVE_SQL = """
 SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY model, split) AS n_pos,
@@ -42,7 +43,7 @@ GROUP BY model, split"""
     "binary_metrics",
     f"""WITH p AS ({PREDICTIONS_SQL}), m AS ({_METRICS_SQL})
         SELECT model, split, tp, fp, fn, tn, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision,
-               round(recall, 6) AS recall, round(f1_score, 6) AS f1_score FROM m""",
+               round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, n_unscored FROM m""",
 )
 def binary_metrics(t):
     made = metrics.binary_metrics(predictions(t), _BY)
@@ -113,12 +114,14 @@ def _side(split: str, prefix: str, names: tuple[str, ...]) -> str:
             {_side('valid', 'val', (('accuracy', 'accuracy'), ('f1_score', 'f1'), ('auc_roc', 'auc_roc')))},
             {_side('test', 'test', (('accuracy', 'accuracy'), ('precision', 'precision'), ('recall', 'recall'),
                                     ('f1_score', 'f1'), ('auc_roc', 'auc_roc')))}
+            , max(CASE WHEN split = 'valid' THEN n_unscored END) AS val_unscored,
+            max(CASE WHEN split = 'test' THEN n_unscored END) AS test_unscored
             FROM j GROUP BY model)
         SELECT *, CAST(rank() OVER (ORDER BY test_auc_roc DESC, model) AS INTEGER) AS position FROM v""",
 )
 def model_comparison(t):
     made = metrics.model_comparison(predictions(t))
-    return _rounded(made, *[n for n in made.columns if n not in ("model", "position")])
+    return _rounded(made, *[n for n in made.columns if n not in ("model", "position") and not n.endswith("unscored")])
 
 
 @query(

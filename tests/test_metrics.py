@@ -34,7 +34,9 @@ def test_published_metrics(spark):
 
 def test_no_predicted_positives(spark):
     df = spark.createDataFrame([(1, 0), (0, 0)], "label int, prediction int")
-    assert tuple(metrics.binary_metrics(df).first()) == (0, 0, 1, 1, 0.5, 0.0, 0.0, 0.0)
+    assert tuple(metrics.binary_metrics(df).first()) == (0, 0, 1, 1, 0.5, 0.0, 0.0, 0.0, 0)
+    unscored = spark.createDataFrame([(1, 1, None), (0, 0, float("nan")), (1, 1, 0.5)], "label int, prediction int, score double")
+    assert metrics.binary_metrics(unscored).first()["n_unscored"] == 2
     assert rows(metrics.confusion_matrix(df)) == [(0, 0, 1), (0, 1, 0), (1, 0, 1), (1, 1, 0)]
 
 
