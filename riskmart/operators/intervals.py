@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.functions.cleaning import DEFAULT_LABEL, parse_date, text_or_default
-from riskmart.operators.joins import BROADCAST_ROWS, fits, measure
+from riskmart.operators.joins import fits, measure
 
 _LEVEL_BITS = 2  # a cell holds four cells of the level below
 _TOP_LEVEL = {"day": 6, "microsecond": 24}  # the widest cells span 5.6 and 8.9 years
@@ -129,7 +129,7 @@ def interval_lookup(
     kinds: Mapping[str, str],
     default: str = DEFAULT_LABEL,
     granularity: str = "day",
-    broadcast_rows: int | None = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Add, per ``{type: output column}``, the party of the latest term covering the fact's date.
 
@@ -138,11 +138,11 @@ def interval_lookup(
     of :func:`explode_terms`. ``granularity="day"`` needs midnight bounds (facts may carry any
     time of day) and fails loudly on others; ``"microsecond"`` takes any timestamp.
 
-    The distinct (state, tick) pairs are measured first (a scan of two columns). Up to
-    ``broadcast_rows`` rows and a fixed number of bytes (widest party included) the answers are broadcast and the fact is not shuffled, beyond that the
-    join back shuffles and adaptive execution splits hot pairs; and if all the cells they look
-    into stay below it too, those cells are broadcast to thin out the intervals early. ``None``
-    leaves every choice to the planner without measuring.
+    No job runs while the query is built, and facts and terms are each read once for the lookup and the
+    facts once more for the join back, whose form adaptive execution picks from real sizes. With
+    ``broadcast_rows`` the distinct (state, tick) pairs are counted first: if they and all cells
+    they look into stay below it, and below a fixed number of bytes, those cells are broadcast to
+    thin out the intervals before their shuffle, which pays when few dates meet many intervals.
     """
     top = _TOP_LEVEL[granularity]
     keyed = fact.withColumns({"_state": F.col(state), "_tick": _tick(F.col(date), granularity)})
