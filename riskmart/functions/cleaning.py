@@ -68,3 +68,9 @@ def flag_to_int(c: Column) -> Column:
 def text_or_default(c: Column, default: str = DEFAULT_LABEL) -> Column:
     """``default`` for null and for the empty string."""
     return F.coalesce(F.nullif(c, F.lit("")), F.lit(default))
+
+
+def json_field(c: Column, name: str, kind: str = "string", default: object = None) -> Column:
+    """A top-level field of a JSON text in the type wanted; ``default`` where it is absent, null or of another type."""
+    value = F.from_json(c, f"`{name}` {kind}")[name]
+    return value if default is None else F.coalesce(value, F.lit(default).cast(kind))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskmart.functions import cleaning
 from riskmart.operators import intervals, pages
 from riskmart.plans import landing
 from riskmart.sources import readers, schemas
@@ -43,8 +44,10 @@ def envelope_explode(t):
     "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '' AS missing FROM events",
 )
 def json_field(t):
-    parsed = t.events.select("event_id", F.from_json("props", "struct<k: bigint, j: string>").alias("props"))
-    return parsed.select("event_id", F.col("props.k").alias("k"), F.coalesce("props.j", F.lit("")).alias("missing"))
+    return t.events.select(
+        "event_id", cleaning.json_field(F.col("props"), "k", "bigint").alias("k"),
+        cleaning.json_field(F.col("props"), "j", default="").alias("missing"),
+    )
 
 
 @query(

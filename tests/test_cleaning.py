@@ -300,3 +300,9 @@ def test_profile(spark):
     assert profile.first_fields(df, 2) == ["s", "i"]
     zone = {r["dataset"]: (r["n_rows"], r["n_columns"]) for r in profile.zone_validation({"p": df, "q": df.union(df)}).collect()}
     assert zone == {"p": (1, 9), "q": (2, 9), "TOTAL": (3, 18)}
+
+
+def test_json_field(spark):
+    df = spark.createDataFrame([('{"k": 3, "s": "x"}',), ('{"k": "z"}',), ("junk",), (None,), ("{}",)], "j string")
+    got = df.select(c.json_field(F.col("j"), "k", "int", -1), c.json_field(F.col("j"), "s")).collect()
+    assert [tuple(r) for r in got] == [(3, "x"), (-1, None), (-1, None), (-1, None), (-1, None)]
