@@ -400,6 +400,9 @@ def training_pages(sample: list[str], synthetic: int = SYNTHETIC, seed: int = 5)
             if rng.random() < 0.15:
                 text = " ".join(text.split()[:int(rng.integers(1, 6))])
             article.append(Block((*body, pick(["p"] * 8 + ["li", "h2", "h3", "blockquote", "div", "td", "pre"])), text, len(text) // 5 if rng.random() < 0.1 else 0, True))
+        if rng.random() < 0.15:  # a short line that repeats, as lists and junk pages have it
+            line = " ".join(pick(main).split()[:int(rng.integers(1, 4))]) or "Line"
+            article += [Block((*body, "p"), line, 0, True) for _ in range(int(rng.integers(2, 20)))]
         for kind in ("advert", "form", "comments", "notice", "sidebar"):
             if rng.random() < 0.2:
                 at = len(article) if kind == "comments" else int(rng.integers(0, len(article) + 1))
