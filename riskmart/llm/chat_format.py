@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmart.llm.common import tidy
+
 OPEN, END = "### ", "</turn>"
 LOSS_ROLE = "assistant"
 _NAMES = {"system": "System", "user": "User", "assistant": "Assistant"}
@@ -175,7 +177,7 @@ def format_chats(conversations: DataFrame, id_col: str = "conv_id", turn_col: st
         conversations.select(F.col(id_col).alias("c"), F.col(turn_col).alias("t"), F.col(role_col).alias("r"), F.col(text_col).alias("x"))
         .repartition("c").sortWithinPartitions("c", "t", "r", "x").select("c", "r", "x")
     )
-    return turns.mapInArrow(_formatter(to_arrow_type(id_type)), schema)
+    return turns.mapInArrow(tidy(_formatter(to_arrow_type(id_type))), schema)
 
 
 def _reader(id_type: pa.DataType):
@@ -212,7 +214,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         T.StructField("conv_id", id_type), T.StructField("n_turns", T.LongType()), T.StructField("turns_sha256", T.StringType()),
         T.StructField("loss_chars", T.LongType()), T.StructField("loss_sha256", T.StringType()), T.StructField("formatted_chars", T.LongType()),
     ])
-    return formatted.select("conv_id", "formatted", "loss_spans").mapInArrow(_reader(to_arrow_type(id_type)), schema)
+    return formatted.select("conv_id", "formatted", "loss_spans").mapInArrow(tidy(_reader(to_arrow_type(id_type))), schema)
 
 
 def with_conflict(conversations: DataFrame) -> DataFrame:

@@ -56,6 +56,42 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def tidy(task):
+    """Wrap a task over Arrow batches: when it ends, its worker gives freed memory back to the machine.
+
+    Workers are reused and outlive their tasks; without this each keeps the most it ever held.
+    """
+
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
+def _give_back() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def slices(batches, rows: int = 1_000):
+    """Arrow batches cut into pieces, so that what a task makes of a piece stays small; long texts come one by one."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def hide(df: DataFrame, *needed: str) -> tuple[DataFrame, list[str], list[Column]]:
     """Give all columns neutral names while an operator works, so that none can clash with its own.
 
@@ -104,11 +140,20 @@ def join_by_hot(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataF
     return tried.filter("hot_").drop("hot_").unionByName(rest)
 
 
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers, wherever they run and whatever folder they start in.
+    """Make a session ready for Python workers that read whole texts.
 
-    Spark's own file server hands the archive from the driver to the executors; once per application.
+    They get this package, wherever they run and whatever folder they start in: Spark's own file server
+    hands the archive from the driver to the executors, once per application. And where the session has
+    Spark's default of 10,000 rows a batch, which texts of several kB make into tens of MB on either
+    side of the pipe, it gets ``BATCH_ROWS``.
     """
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_riskmart_shipped", False):
         return

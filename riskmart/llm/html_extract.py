@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.common import cached, lowest, only
+from riskmart.llm.common import cached, lowest, only, tidy
 
 SAMPLE = 300
 SAMPLE_BYTES = 100_000
@@ -449,7 +449,7 @@ def extract(pages: DataFrame, model: BiLSTM, id_col: str = "page_id", url_col: s
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), piece.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=arrow)
 
-    return pages.select(F.col(id_col), F.col(url_col), F.col(html_col)).mapInArrow(run, schema)
+    return pages.select(F.col(id_col), F.col(url_col), F.col(html_col)).mapInArrow(tidy(run), schema)
 
 
 def op10_extract_pages(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskmart.llm.common import only
+from riskmart.llm.common import only, slices, tidy
 
 WINDOW = 64
 HIDDEN = 8
@@ -243,7 +243,7 @@ def identify(docs: DataFrame, model: ByteGRU | None, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("language")
         names = np.array(model.languages, dtype=object)
-        for batch in batches:
+        for batch in slices(batches):
             readable = np.array(batch.column(2).to_pylist(), bool)
             texts = [t if ok else b"" for t, ok in zip(batch.column(3).to_pylist(), readable)]
             prob = model.pooled(texts)
@@ -257,7 +257,7 @@ def identify(docs: DataFrame, model: ByteGRU | None, id_col: str = "doc_id", tex
         T.StructField("score", T.DoubleType()),
     ])
     slim = docs.select(F.col(id_col), held_out(id_col), letters, F.col(text_col).cast("binary"))
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(tidy(run), schema)
 
 
 def op5_identify_language(spark, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskmart.llm.common import cached, hide, join_by_hot, only, row_hash, written
+from riskmart.llm.common import cached, hide, join_by_hot, only, row_hash, slices, tidy, written
 from riskmart.llm.components import components
 from riskmart.llm.exact_dedup import FILTER_BITS, bloom_filter, in_filter
 
@@ -51,7 +51,7 @@ COMMON = 100_000
 BLOCK = 256
 _CELLS = 30_000_000  # of one membership table, in bytes
 _WORD_CACHE = 250_000
-_SEEN = 200_000
+_SEEN = 100_000
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64
 )
@@ -115,7 +115,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     only("ngram join")
     seen: set[bytes] = set()
-    for batch in batches:
+    for batch in slices(batches):
         counts, nodes, heads = [], [], []
         for text in batch.column(1):
             values = shingles(text.as_py())
@@ -139,7 +139,7 @@ def _prefix_rows(common_list) -> Callable:
         only("ngram join")
         common = common_list.value
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in slices(batches):
             tokens, nodes, counts = [], [], []
             for text in batch.column(0):
                 values = shingles(text.as_py())
@@ -171,7 +171,7 @@ def _ordered_sets(common_list) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("ngram join")
         common = common_list.value
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(text.as_py()) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -370,7 +370,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), row_key(id_col, text_col).alias("row_key")
     )
     rows = written(
-        slim.mapInArrow(_set_rows, T.StructType([
+        slim.mapInArrow(tidy(_set_rows), T.StructType([
             T.StructField("doc_id", id_type), T.StructField("row_key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()),
             T.StructField("head", T.ArrayType(T.LongType())),
         ])), "sets")
@@ -380,7 +380,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     listed = np.sort(np.array([r["token"] for r in frequent.collect()], dtype=np.int64))
     common_list = spark.sparkContext.broadcast(listed)
-    entries = slim.select("text").mapInArrow(_prefix_rows(common_list), "token long, node binary, n long")
+    entries = slim.select("text").mapInArrow(tidy(_prefix_rows(common_list)), "token long, node binary, n long")
     by_token = Window.partitionBy("token")
     shared = written(
         entries.withColumn("lo", F.min("node").over(by_token)).withColumn("hi", F.max("node").over(by_token))
@@ -428,7 +428,7 @@ def _sets_of(slim: DataFrame, involved: DataFrame, common_list) -> DataFrame:
     """The ordered sets of involved nodes; a Bloom filter of fixed size on the ids spares all other texts."""
     bloom = written(bloom_filter(involved.select(F.xxhash64("doc_id").alias("h"))), "bloom")
     some = in_filter(slim, bloom, F.xxhash64("doc_id"), FILTER_BITS).filter("maybe_").select("text")
-    made = some.mapInArrow(_ordered_sets(common_list), "node binary, tokens binary")
+    made = some.mapInArrow(tidy(_ordered_sets(common_list)), "node binary, tokens binary")
     return made.join(involved.select("node"), "node").dropDuplicates(["node"])
 
 
@@ -436,7 +436,7 @@ def _stars(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     partners = pairs.join(sets.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("hub"), F.col("b").alias("node"), "tokens")
     hubs = pairs.select(F.col("a").alias("node")).distinct().join(sets, "node").select(F.col("node").alias("hub"), "node", "tokens")
     rows = hubs.union(partners).repartition("hub").sortWithinPartitions("hub", (F.col("hub") != F.col("node")))
-    return rows.mapInArrow(_star_links, "u binary, v binary")
+    return rows.mapInArrow(tidy(_star_links), "u binary, v binary")
 
 
 def _blocks(crowded: DataFrame, sets: DataFrame, block: int) -> DataFrame:

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmart.llm.common import tidy
+
 SEQUENCE = 2048
 END_ID = 1
 LINEAR = 1.0
@@ -127,7 +129,7 @@ def _packer(path: str | None, end_id: int, capacity: int, buffer_sequences: int,
         waiting: list[tuple] = []
         for rows in pack_stream(documents(), TaskContext.get().partitionId() << 33, capacity, buffer_sequences):
             waiting += rows
-            if len(waiting) >= 1000:
+            if len(waiting) >= 500:
                 yield _batch(waiting, schema)
                 waiting = []
         if waiting:
@@ -168,7 +170,7 @@ def pack(
         T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
     ])
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return slim.mapInArrow(_packer(path, end_id, capacity, buffer_sequences, to_arrow_type(id_type)), schema)
+    return slim.mapInArrow(tidy(_packer(path, end_id, capacity, buffer_sequences, to_arrow_type(id_type))), schema)
 
 
 def op8_pack_sequences(spark, sf_dir: str) -> DataFrame:

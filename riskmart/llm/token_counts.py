@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.common import cached, only
+from riskmart.llm.common import cached, only, slices, tidy
 from riskmart.llm.word_tokens import byte_letters
 
 LEAF = 64
@@ -223,13 +223,13 @@ def token_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counts_by(path)
-        for batch in batches:
+        for batch in slices(batches):
             made = [cut_leaves(t.as_py(), counts) for t in batch.column(1)]
             lists = [_list([m[i] for m in made]) for i in range(3)]
             totals = pa.array([int(m[1].sum()) for m in made], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, *lists, totals], names=schema.names)
 
-    return docs.select(*columns).mapInArrow(run, schema)
+    return docs.select(*columns).mapInArrow(tidy(run), schema)
 
 
 def _list(arrays: list[np.ndarray]) -> pa.Array:
@@ -248,7 +248,7 @@ def apply_edits(trees: DataFrame, path: str | None = None, with_text: bool = Tru
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counts_by(path)
-        for batch in batches:
+        for batch in slices(batches):
             rows, texts = [], []
             edits_of = batch.column(1).to_pylist()
             totals = batch.column(6).to_pylist()
@@ -271,7 +271,7 @@ def apply_edits(trees: DataFrame, path: str | None = None, with_text: bool = Tru
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     ordered = trees.select("doc_id", "edits", "text", "leaf_chars", "leaf_tokens", "leaf_pieces", "n_tokens")
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(tidy(run), schema)
 
 
 def op2_token_counts(spark, sf_dir: str) -> DataFrame:

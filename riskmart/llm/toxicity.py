@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.common import lowest, only, without, written
+from riskmart.llm.common import lowest, only, slices, tidy, without, written
 
 TOXIC_SAMPLE = 2_000
 CLEAN_SAMPLE = 6_000
@@ -48,7 +48,7 @@ REJECT = 0.5
 RIDGE = 0.02
 OUTPUT = ("severity", "p_toxic", "grade", "rejected")
 _WORD = re.compile(r"\w+")
-_CACHE = 200_000
+_CACHE = 150_000
 
 
 def word_features(word: str) -> list[int]:
@@ -127,14 +127,17 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, tox
     some = lowest(judged.filter("toxic_ > 0"), "h_", toxic_sample, sizes.get(True, 0), "id_").union(
         lowest(judged.filter("toxic_ <= 0"), "h_", clean_sample, sizes.get(False, 0), "id_")
     )
-    chosen = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_")).join(F.broadcast(some), "id_").select("toxic_", "text_")
+    found = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_")).join(F.broadcast(some), "id_")
+    # An id may repeat; one text stands for it, so that the sample stays bounded.
+    chosen = found.groupBy("id_").agg(F.max("toxic_").alias("toxic_"), F.min("text_").alias("text_")).select("toxic_", "text_")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        only("toxicity")
+        for batch in slices(batches):
             found = [sorted(text_features(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["toxic", "features"])
 
-    return chosen.mapInArrow(run, "toxic int, features array<long>")
+    return chosen.mapInArrow(tidy(run), "toxic int, features array<long>")
 
 
 def learn(
@@ -178,7 +181,7 @@ def _held(sample: DataFrame, listed: np.ndarray) -> DataFrame:
             kept = [f[np.isin(f, listed)] for f in (np.array(x, np.int64) for x in batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.tolist() for k in kept], pa.list_(pa.int64()))], names=["toxic", "features"])
 
-    return sample.mapInArrow(run, "toxic int, features array<long>")
+    return sample.mapInArrow(tidy(run), "toxic int, features array<long>")
 
 
 def grade(rows: list[np.ndarray], toxic: np.ndarray, marks: np.ndarray, levels: int = GRADES) -> np.ndarray:
@@ -207,7 +210,7 @@ def score(docs: DataFrame, model: CumulativeLink | None, id_col: str = "doc_id",
         only("toxicity")
         weight_of = dict(zip(model.features.tolist(), model.weights.tolist()))
         cache: dict[str, tuple[int, ...]] = {}
-        for batch in batches:
+        for batch in slices(batches):
             scores = np.zeros(batch.num_rows)
             if len(cache) > _CACHE:
                 cache.clear()
@@ -227,7 +230,7 @@ def score(docs: DataFrame, model: CumulativeLink | None, id_col: str = "doc_id",
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(tidy(run), schema)
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ def byte_letters() -> dict[int, str]:
 class WordTokens(dict):
     """word (UTF-8 bytes without ASCII white space) -> ids (little-endian unsigned 32-bit)."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 450_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
