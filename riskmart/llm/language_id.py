@@ -6,7 +6,8 @@ run over the bytes, one from either side; every position gets the probabilities
 states, and a document's probabilities are the mean over all its positions.
 
 The network is written in numpy and trained by backpropagation through time on the driver, on a bounded
-sample: of each language the ``PER_LANGUAGE`` documents whose ids hash lowest (``SAMPLE`` in all), and of each
+sample: of each language the documents whose ids hash lowest, at most ``PER_LANGUAGE`` and at most an equal
+share of ``SAMPLE`` but one at least, so that no language is lost at any size of the table; and of each document
 one passage of ``PASSAGE`` bytes at a hashed place. Documents held out never enter the sample. Prediction reads
 the text only.
 
@@ -206,20 +207,23 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Train on the bounded sample; None if there is nothing to learn from."""
     data = F.col(text_col).cast("binary")
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit("place")), F.greatest(F.octet_length(data) - PASSAGE, F.lit(1))).cast("int") + 1
-    rows = (
-        docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-        .select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.substring(data, place, F.lit(PASSAGE)).alias("passage"))
-    )
-    # Hashes spread evenly: only rows below about four times a language's expected cut go to its ranking.
-    sizes = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    readable = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    rows = readable.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.substring(data, place, F.lit(PASSAGE)).alias("passage"))
+    # One row per language, as in the model. Sizes are of the rows to be ranked, so that a cut by size spares rare readable ones.
+    counts = readable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64(id_col)).alias("least"))
+    found = counts.collect()
+    if not found:
+        return None
+    each = max(1, min(PER_LANGUAGE, SAMPLE // len(found)))
+    sizes = F.broadcast(docs.sparkSession.createDataFrame(found, counts.schema))
+    # Hashes spread evenly: only rows below about four times a language's expected cut go to its ranking, its lowest always.
     share = F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(-(1 << 63))), 11) / float(1 << 53)
+    near = (share <= 4.0 * PER_LANGUAGE / F.col("n")) | (F.col("h") == F.col("least"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "passage"))
     chosen = (
-        rows.join(sizes, "lang").filter(share <= 4.0 * PER_LANGUAGE / F.col("n")).withColumn("nth", nth)
-        .filter(F.col("nth") <= PER_LANGUAGE).orderBy("h", "lang", "passage").limit(SAMPLE).collect()
+        rows.join(sizes, "lang").filter(near).withColumn("nth", nth)
+        .filter(F.col("nth") <= each).orderBy("h", "lang", "passage").collect()
     )
-    if not chosen:
-        return None
     languages = sorted({r["lang"] for r in chosen})
     windows, owners, sizes = cut([bytes(r["passage"]) for r in chosen])
     labels = np.array([languages.index(r["lang"]) for r in chosen])[owners]

@@ -206,6 +206,22 @@ def test_language_of_odd_rows(spark):
     assert language_id.identify(no_documents(spark), model).count() == 0
 
 
+def test_no_language_is_lost_from_the_sample(spark, monkeypatch):
+    """More languages than full shares fit in the sample, some of few documents, one with few readable ones."""
+    learned = []
+    monkeypatch.setattr(language_id.ByteGRU, "fit", lambda self, windows, labels, sizes: learned.extend(self.languages[i] for i in labels))
+    many = language_id.SAMPLE // language_id.PER_LANGUAGE + 1
+    frequent = spark.range(many * 2_000).selectExpr("id doc_id", f"concat('f', id % {many}) lang", "'words' text")
+    rare = spark.range(10**6, 10**6 + 200).selectExpr("id doc_id", "concat('r', id % 20) lang", "'words' text")
+    numbers = spark.range(2 * 10**6, 2 * 10**6 + 60_000).selectExpr("id doc_id", "'numbers' lang", "if(id % 20000 = 0, 'words', '12') text")
+    docs = frequent.union(rare).union(numbers)
+    model = language_id.learn(docs)
+    free = docs.filter(~language_id.held_out("doc_id")).filter("text = 'words'").groupBy("lang").count().collect()
+    assert set(model.languages) == {r["lang"] for r in free} and len(free) == many + 21
+    each = language_id.SAMPLE // len(free)
+    assert {lang: learned.count(lang) for lang in model.languages} == {r["lang"]: min(r["count"], each) for r in free}
+
+
 # ---- packing --------------------------------------------------------------------------------------------
 
 
