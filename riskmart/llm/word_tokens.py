@@ -2,7 +2,8 @@
 
 The tokenizer turns runs of white space into breaks between pre-tokens and never looks across one, so
 the ids of a text are those of its ASCII-white-space words one after the other. Words repeat: a
-dictionary of words saves most of the work. ``tests/llm`` compares with the tokenizer on whole texts.
+dictionary of words saves most of the work. Added tokens are matched before letters are made small, so a
+word that holds one in any case goes to the tokenizer as it is. ``tests/llm`` compares with the tokenizer on whole texts.
 """
 
 from __future__ import annotations
@@ -34,12 +35,15 @@ class WordTokens(dict):
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._letters = byte_letters()
+        self._added = [t.content.lower().encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._limit = limit
 
     def __missing__(self, word: bytes) -> bytes:
         if word.isascii():
             lower = word.lower()
-            if lower != word:
+            if any(a in lower for a in self._added):
+                found = self._whole(word)
+            elif lower != word:
                 found = self[lower]
             elif len(word) > 1 and word[-1:] in b".," and word[-2:-1].isalpha():
                 found = self[word[:-1]] + self[word[-1:]]

@@ -241,6 +241,13 @@ def test_word_ids_are_those_of_the_whole_text(word_tokenizer):
         assert np.frombuffer(tokens.ids(text.encode()), "<u4").tolist() == word_tokenizer(text), text
 
 
+@pytest.mark.parametrize("text", ["<|ENDOFTEXT|>", "<|EndOfText|> A", "a<|STARTOFTEXT|>b, <|startoftext|>", "X<|endoftext|>Y.", "É<|EndOfText|>", "<|ENDOFTEXT|>,<|endoftext|>"])
+def test_added_tokens_in_any_case(word_tokenizer, text):
+    tokens = word_tokens(packing.vocabulary_path())
+    for t in (text, text.lower(), text):
+        assert np.frombuffer(tokens.ids(t.encode()), "<u4").tolist() == word_tokenizer(t), t
+
+
 def _check_packed(rows, documents, word_tokenizer, capacity):
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
