@@ -8,7 +8,8 @@ Stages, each written as Parquet and read again as the next one's documents:
 4. mixing: documents are left out or repeated so that sources meet their target weights;
 5. packing: token sequences of at most 2,048 tokens.
 
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of their input, with any further ones whatever their names:
+operators see them under neutral names.
 """
 
 from __future__ import annotations
@@ -16,18 +17,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskmart.llm import exact_dedup, mixing, ngram_join, packing, toxicity
-from riskmart.llm.common import ship, written
+from riskmart.llm.common import hide, ship, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.learn(docs, labels)
-    return toxicity.score(docs, model).filter("not rejected").select(*docs.columns)
+    base, (id_at, text_at), restored = hide(docs, "doc_id", "text")
+    return toxicity.score(base, model, id_at, text_at).filter("not rejected").select(*restored)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(docs).filter("kept").select(*docs.columns)
+    base, (id_at, text_at), restored = hide(docs, "doc_id", "text")
+    return exact_dedup.exact_dedup(base, id_at, text_at).filter("kept").select(*restored)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +39,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.emit(mixing.mix(docs)).select(*docs.columns)
+    base, (id_at, source_at, text_at), restored = hide(docs, "doc_id", "source", "text")
+    return mixing.emit(mixing.mix(base, id_at, source_at, text_at)).select(*restored)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -333,3 +333,24 @@ def test_pipeline_against_plain_python(spark, small):
         packed[r["doc_id"]] += r["length"]
     assert packed == want
     assert corpus_pipeline.run(spark, small).count() == current.count()
+
+
+def test_stages_keep_columns_of_any_name(spark, small):
+    """Odd rows and empty tables through every stage; columns named like the operators' own come back as they were."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    names = ["severity", "P_toxic", "grade", "rejected", "keep_id", "group_size", "source_size", "target", "taken", "Copies", "copy_", "row_key", "in0_", "a.b"]
+    extra = {n: F.lit(f"own {n}") for n in names}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = odd_documents(spark).withColumns(extra)
+        got = stage(spark, docs, small)
+        plain = stage(spark, odd_documents(spark).select("doc_id", "text", "lang", "source", "n_chars"), small)
+        key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0)
+        assert sorted(map(key, got.collect())) == sorted(map(key, plain.collect())), name
+        assert stage(spark, no_documents(spark).withColumns(extra), small).count() == 0
+        if name != "packing":
+            assert got.dtypes == docs.dtypes, name
+            for r in got.collect():
+                assert [r[n] for n in names] == [f"own {n}" for n in names], name
+                assert (r["kept"], r["size"], r["rank"], r["text_sha256"], r["block_"], r["key_"]) == ("x", "y", 1, 2, 3, "z"), name
