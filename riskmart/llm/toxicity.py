@@ -14,8 +14,8 @@ signed likelihood ratio, pooled over the sample in a grouped count) enter the mo
 1, 2 or 3 by thirds of the number of distinct features they hold that mark toxic documents.
 ``fit`` takes any ordered grades.
 
-*Sample.* At most ``TOXIC_SAMPLE`` toxic and ``CLEAN_SAMPLE`` clean labelled documents, those whose ids hash
-lowest; a label is looked up by broadcasting these ids. Every document is then scored by its whole text.
+*Sample.* At most ``TOXIC_SAMPLE`` toxic and ``CLEAN_SAMPLE`` clean labelled documents of this table, those whose
+ids hash lowest (labels of other documents take no place in it); a label is looked up by broadcasting these ids. Every document is then scored by its whole text.
 
 Defined cases: a null or wordless text has only the constant, so severity is that of the base rate and it
 stays; null labels and labels of unknown documents are not learned from; of several labels of a document
@@ -119,10 +119,13 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, features: np.ndarray, levels
 
 def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_sample: int, clean_sample: int) -> DataFrame:
     """(toxic, features) of the bounded sample of labelled documents."""
+    present = docs.select(F.col(id_col).alias("id_")).filter("id_ is not null").distinct()
     judged = (
         labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull())
-        .groupBy(F.col(id_col).alias("id_")).agg(F.max("toxic").cast("int").alias("toxic_")).withColumn("h_", F.xxhash64("id_"))
+        .groupBy(F.col(id_col).alias("id_")).agg(F.max("toxic").cast("int").alias("toxic_"))
+        .join(present, "id_", "left_semi").withColumn("h_", F.xxhash64("id_"))
     )
+    judged = written(judged, "judged")
     sizes = dict(judged.groupBy((F.col("toxic_") > 0).alias("t")).agg(F.count(F.lit(1))).collect())
     some = lowest(judged.filter("toxic_ > 0"), "h_", toxic_sample, sizes.get(True, 0), "id_").union(
         lowest(judged.filter("toxic_ <= 0"), "h_", clean_sample, sizes.get(False, 0), "id_")

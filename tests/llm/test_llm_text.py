@@ -81,6 +81,14 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(no_documents(spark), model).count() == 0
 
 
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark):
+    docs = spark.range(0, 10_000, 100).selectExpr("id doc_id", "if(id % 1000 = 0, 'foul words', 'fine words') text")
+    labels = spark.range(10_000).selectExpr("id doc_id", "if(id % 1000 = 0 or id % 7 = 1, 1, 0) toxic")
+    labels = labels.join(docs.filter("text = 'fine words'").select("doc_id").withColumn("fine", toxicity.F.lit(0)), "doc_id", "left").selectExpr("doc_id", "coalesce(fine, toxic) toxic")
+    sample = toxicity._sampled(docs, labels, "doc_id", "text", 10, 50).groupBy("toxic").count().collect()
+    assert {r["toxic"]: r["count"] for r in sample} == {1: 10, 0: 50}
+
+
 # ---- token counts ---------------------------------------------------------------------------------------
 
 
