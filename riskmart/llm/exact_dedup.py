@@ -1,4 +1,4 @@
-"""Exact duplicates by two Bloom passes: only rows whose hash may repeat are shuffled.
+"""Exact duplicates by an exact count of hashes and a Bloom filter: only hashes, and rows whose hash may repeat, are shuffled.
 
 Pass 1 reads the texts once and counts their 64-bit hashes; the map side already adds up equal
 hashes, so a text that fills a third of the table sends one number per task. Hashes counted
