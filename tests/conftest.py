@@ -33,8 +33,3 @@ def small():
     if not os.path.isdir(SMALL):
         pytest.skip("supplied tables are not here")
     return SMALL
-
-
-def rows(df, *order):
-    """Plain tuples, sorted."""
-    return sorted((tuple(r) for r in (df.select(*order) if order else df).collect()), key=repr)

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from riskmart.functions import cleaning as c
 from riskmart.functions import numeric
 from riskmart.operators.joins import BROADCAST_BYTES, _hot_keys, _salt, fits, lookup_join, measure

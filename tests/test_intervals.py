@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from riskmart.operators import intervals
 
 KINDS = {"rep": "representant", "sen": "senator"}

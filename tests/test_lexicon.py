@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from riskmart.functions.text import word_count, words
 from riskmart.operators import lexicon
 

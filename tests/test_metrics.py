@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from riskmart.operators import metrics, runs
 
 # Published results of three models and the smallest confusion counts that reproduce them.

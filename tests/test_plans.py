@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from conftest import rows
+from frames import rows
 from riskmart import zones as z
 from riskmart.ml import models
 from riskmart.ml.models import ModelSpec

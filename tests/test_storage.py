@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from riskmart.operators import pages as paging
 from riskmart.plans import formatting, landing
 from riskmart.sinks import writers
