@@ -30,14 +30,18 @@ def hits(tokens: Column, lexicon: Iterable[str]) -> Column:
 
 
 def word_runs(tokens: Column, length: int) -> Column:
-    """The runs of ``length`` consecutive tokens, joined by a space."""
-    return F.when(
-        F.size(tokens) >= length,
-        F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - (length - 1)),
-            lambda i: F.array_join(F.slice(tokens, i, F.lit(length)), " "),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    """The runs of ``length`` consecutive tokens, joined by a space; none for a null array.
+
+    Runs grow by one token at a time, from whole arrays side by side: nothing inside a lambda refers to
+    ``tokens``, which would be evaluated for every word again. Linear in the words.
+    """
+    runs = tokens
+    for n in range(2, length + 1):
+        count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+        runs = F.zip_with(
+            F.slice(runs, F.lit(1), count), F.slice(tokens, F.lit(n), count), lambda run, word: F.concat_ws(" ", run, word)
+        )
+    return F.coalesce(runs, F.array().cast("array<string>"))
 
 
 def phrase_hits(tokens: Column, phrases: Iterable[str], length: int) -> Column:

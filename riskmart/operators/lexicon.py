@@ -11,7 +11,8 @@ from riskmart.functions import text
 from riskmart.functions.cleaning import normalize_word
 from riskmart.functions.numeric import ratio_or_zero
 from riskmart.operators.dedupe import key_set
-from riskmart.operators.joins import BROADCAST_ROWS, lookup_join
+from riskmart.operators.joins import BROADCAST_ROWS, fits, lookup_join, measure
+from riskmart.sinks.scratch import written
 
 # The six text features of the wide table.
 FEATURES = (
@@ -101,9 +102,10 @@ def lexicon_hits(
 ) -> DataFrame:
     """Per key and text column, how often each lexicon entry occurs; texts without a hit have no row.
 
-    The form for a word list of any size. The words of a text are counted first, by the task that
-    reads it, so that a word goes on once per text however often the text repeats it; then the
-    distinct words meet the list. With ``phrases`` runs of words up to the longest entry count too.
+    The form for a word list of any size. A list below the broadcast bound filters the words where the
+    text is read. For a longer one the words of a text are counted first, so that a word goes on once per
+    text however often the text repeats it, and the counts, written once, meet the list in the salted
+    join. With ``phrases`` runs of words up to the longest entry count too.
     """
     no_words = F.array().cast("array<string>")
     wanted = normalize_lexicon(lexicon, word).withColumnRenamed(word, "word").filter("word <> ''")
@@ -113,17 +115,24 @@ def lexicon_hits(
     else:
         wanted = wanted.filter(~F.contains("word", F.lit(" ")))
 
-    def occurrences(name: str) -> Column:
-        part = F.lit(name).alias("part")
-        tokens = F.coalesce(text.words(F.col(name)), no_words)
-        runs = [tokens, *[text.word_runs(tokens, n) for n in range(2, longest + 1)]]
-        return F.transform(F.concat(*runs), lambda w: F.struct(part, w.alias("word")))
+    # Tokenised once: the words are columns of their own before anything refers to them.
+    names = {name: f"_words_{i}" for i, name in enumerate(texts)}
+    tokenised = df.select(F.col(key), *[F.coalesce(text.words(F.col(n)), no_words).alias(at) for n, at in names.items()])
 
-    tokens = df.select(F.col(key), F.explode(F.concat(*map(occurrences, texts))).alias("o")).select(
-        key, "o.part", "o.word"
-    )
-    counted = tokens.groupBy(key, "part", "word").agg(F.count(F.lit(1)).alias("n"))
-    return lookup_join(counted, wanted, ["word"], "left_semi", broadcast_rows)
+    def occurrences(name: str, at: str) -> Column:
+        runs = [F.col(at), *[text.word_runs(F.col(at), n) for n in range(2, longest + 1)]]
+        return F.transform(F.concat(*runs), lambda w: F.struct(F.lit(name).alias("part"), w.alias("word")))
+
+    occurring = F.concat(*[occurrences(n, at) for n, at in names.items()])
+    tokens = tokenised.select(F.col(key), F.explode(occurring).alias("o")).select(key, "o.part", "o.word")
+
+    def count(found: DataFrame) -> DataFrame:
+        return found.groupBy(key, "part", "word").agg(F.count(F.lit(1)).alias("n"))
+
+    if fits(measure(wanted), broadcast_rows):
+        return count(tokens.join(F.broadcast(wanted), "word", "left_semi"))
+    # Past the broadcast bound the counts are read twice: written once, so that no text is.
+    return lookup_join(written(count(tokens), "word-counts"), wanted, ["word"], "left_semi", broadcast_rows)
 
 
 def lexicon_features_by_join(
@@ -147,14 +156,15 @@ def lexicon_features_by_join(
     marked = df.withColumn("_text", F.when(F.greatest(*[F.col(c).isNotNull() for c in present], F.lit(False)), digest))
     texts = marked.select("_text", *present).filter("_text IS NOT NULL").dropDuplicates(["_text"])
     in_abstract, in_title = F.col("part") == abstract, F.col("part") == title
-    per_text = (
+    per_text = written(
         lexicon_hits(texts, "_text", present, lexicon, word, broadcast_rows, phrases)
         .groupBy("_text")
         .agg(
             F.sum(F.when(in_abstract, F.col("n"))).alias("_count_a"),
             F.count_if(in_abstract).alias("_unique_a"),
             F.sum(F.when(in_title, F.col("n"))).alias("_count_t"),
-        )
+        ),
+        "text-hits",
     )
     # Counted before the join: only the digest is looked up.
     total = text.word_count(F.col(abstract)) if abstract in df.columns else F.lit(0)

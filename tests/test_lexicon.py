@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from frames import rows
-from riskmart.functions.text import word_count, words
+from riskmart.functions.text import word_count, word_runs, words
 from riskmart.operators import lexicon
 
 LEX = ["bias", "equity", "équité", "hate speech", "Gender"]
@@ -87,3 +88,29 @@ def test_words_match_python(spark, texts):
     got = df.select(words(F.col("t")), word_count(F.col("t"))).collect()
     for text, (tokens, n) in zip(texts, got):
         assert tokens == re.findall(r"\b\w+\b", text.lower()) and n == len(tokens)
+
+
+def test_word_runs(spark):
+    df = spark.createDataFrame([(None,), ([],), (["a"],), (["a", "b"],), (["a", "b", "c", "d"],)], "t array<string>")
+    got = [r[0] for r in df.select(word_runs(F.col("t"), 3)).collect()]
+    assert got == [[], [], [], [], ["a b c", "b c d"]]
+    assert [r[0] for r in df.select(word_runs(F.col("t"), 1)).collect()] == [[], [], ["a"], ["a", "b"], ["a", "b", "c", "d"]]
+
+
+def test_runs_of_long_texts_take_linear_time(spark):
+    """Words that are an expression, not a column: four times the words must not take sixteen times as long."""
+    def seconds(n_words):
+        text = "alpha beta gamma delta " * (n_words // 4)
+        df = spark.createDataFrame([(text,)] * 8, "t string").coalesce(1).cache()
+        df.count()
+        job = df.select(F.sum(F.size(word_runs(words(F.col("t")), 3))))
+        job.collect()
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            job.collect()
+            best.append(time.perf_counter() - start)
+        df.unpersist()
+        return min(best)
+
+    assert seconds(80_000) < 8 * max(seconds(20_000), 0.05)
