@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import wraps
 
-from riskmart.llm import ann, chat_format, exact_dedup, html_extract, language_id, mixing, ngram_join, packing, token_counts, toxicity
+from riskmart.llm import (
+    ann, chat_format, exact_dedup, html_extract, language_id, mixing, ngram_join, packing, quality, spelling, token_counts, toxicity, whitening,
+)
 from riskmart.llm.common import ship
 
 
@@ -30,6 +32,9 @@ QUERIES = {
         "op8_pack_sequences": packing.op8_pack_sequences,
         "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
         "op10_extract_pages": html_extract.op10_extract_pages,
+        "op11_whiten_embeddings": whitening.op11_whiten_embeddings,
+        "op12_spelling_variants": spelling.op12_spelling_variants,
+        "op13_quality_rules": quality.op13_quality_rules,
     }.items()
 }
 ORACLES = {
