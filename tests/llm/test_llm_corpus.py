@@ -232,7 +232,8 @@ def test_bands_tell_prose_from_repetition_and_noise(spark):
         return " ".join(rng.choice(vocabulary) for _ in range(n))
 
     noise = ["".join(rng.choice([chr(c) for c in range(33, 127)]) for _ in range(70)) for _ in range(3_000)]
-    few = " ".join(rng.choice(vocabulary[:30]) for _ in range(1_500))
+    long_words = ["".join(rng.choices(letters, k=40)) for _ in range(30)]
+    few = " ".join(rng.choice(long_words) for _ in range(1_500))
     texts = dict(enumerate([prose(60), prose(400), prose(20_000), " ".join(noise[:60]), " ".join(noise), prose(2_000) + " " + " ".join(noise[:40]),
                             prose(2_000) + " " + " ".join(noise[:600]), few, (prose(900) + "\n") * 6]))
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
