@@ -40,8 +40,10 @@ CACHE = 400_000
 
 # Fixed value: the pattern of the vocabulary, which cuts text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# What op2 takes out of the texts.
-REDACTED = r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|(?m:^Licensed under [^\n]*$)"
+# What op2 takes out of the texts, and the strings one of which each match holds. A run of address characters is tried
+# from its start (or where the last match ended) alone, and never given back: as many steps as characters.
+REDACTED = r"(?:\G|(?<![\w.+-]))[\w.+-]++@[\w-]+(?:\.[\w-]+)+|\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|(?m:^Licensed under [^\n]*$)"
+HINTS = ("@", "+", "Licensed under ")
 MARK = "[redacted]"
 
 
@@ -192,20 +194,36 @@ class TokenTree:
         self._plant(text, *cut_leaves(text, self._counts))
 
 
-def redactions(text: Column, pattern: str = REDACTED, mark: str = MARK) -> Column:
-    """Edits that replace every match of a pattern, last one first, found with built-in functions."""
-    between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    matches = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.length(x))
-    placed = F.transform(
-        matches,
-        lambda n, i: F.struct(
-            (F.aggregate(F.slice(between, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x)
-             + F.aggregate(F.slice(matches, F.lit(1), i), F.lit(0), lambda a, x: a + x)).cast("long").alias("start"),
-            n.cast("long").alias("length"),
-            F.lit(mark).alias("inserted"),
-        ),
-    )
-    return F.reverse(placed)
+def placed(between: pa.Array, matches: pa.Array) -> pa.Array:
+    """Where matches lie: lists of {start, length} from the lengths between and of the matches, by running sums over a batch."""
+    found = np.diff(matches.offsets.to_numpy())
+    lengths = matches.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    gaps = between.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(found)), found)
+    # A row has one gap more than it has matches: the last one comes after all of them.
+    firsts = np.concatenate([[0], np.cumsum(np.diff(between.offsets.to_numpy()))])[:-1]
+    nth = np.arange(len(rows)) - np.repeat(np.cumsum(found) - found, found)
+    steps = gaps[firsts[rows] + nth] + lengths
+    ends = np.cumsum(steps)
+    base = np.concatenate([[0], ends])[np.cumsum(found) - found]
+    starts = ends - lengths - base[rows]
+    offsets = np.concatenate([[0], np.cumsum(found)]).astype(np.int32)
+    items = pa.StructArray.from_arrays([pa.array(starts), pa.array(lengths)], names=["start", "length"])
+    return pa.ListArray.from_arrays(pa.array(offsets), items)
+
+
+def redactions(text: Column, pattern: str = REDACTED, mark: str = MARK, hints: tuple[str, ...] = HINTS) -> Column:
+    """Edits that replace every match of a pattern, last one first; linear in the text.
+
+    Matches are found with built-in functions; only their lengths go to Python, which adds them up.
+    ``hints`` are strings one of which every match holds (none: every text is searched).
+    """
+    place = F.arrow_udf(placed, "array<struct<start: bigint, length: bigint>>")
+    searched = F.greatest(*[F.contains(text, F.lit(h)) for h in hints], F.lit(False)) if hints else F.lit(True)
+    between = F.when(searched, F.split(text, pattern, -1)).otherwise(F.array(F.lit("")))
+    matches = F.when(searched, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    sizes = [F.transform(x, lambda s: F.length(s)) for x in (between, matches)]
+    return F.reverse(F.transform(place(*sizes), lambda e: F.struct(e["start"].alias("start"), e["length"].alias("length"), F.lit(mark).alias("inserted"))))
 
 
 _LISTS = "array<long>"

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_frames import LONG, no_documents, odd_documents
 from riskmart.llm import language_id, packing, token_counts, toxicity
-from riskmart.llm.word_tokens import word_tokens
+from riskmart.llm.word_tokens import WordTokens, word_tokens
 
 ALPHABET = "ab cé 'lls 12  \n\t.,!?üñ'tre  ve日本xZÀİ́"
 
@@ -320,3 +322,39 @@ def test_assignment_balances_cost():
             if not room:
                 at, room = at + 1, 2048
     assert cost.std() < 0.5 * in_order[:count].std()
+
+
+def test_redactions_lie_where_the_matches_do(spark):
+    """Against Python's own search with the plain form of the pattern; long texts with many matches included."""
+    plain = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|(?m:^Licensed under [^\n]*$)", re.A)
+    rng = random.Random(9)
+    parts = ["a", "@", ".", "b.c", "x@y.z", "+", "+q@b.c", "-", " ", "\n", "+1 (234) 567-8901", "Licensed under the A", "é", "日"]
+    texts = ["", None, "x@y.z.+q@b.c", "me@a.b" * 3, "+1 (234) 567-8901" * 2, "Licensed under X\nLicensed under Y\n", "a@b " * 5_000, "a@b.cd " * 20_000]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = df.select("i", token_counts.redactions(F.coalesce("t", F.lit(""))).alias("e")).collect()
+    assert len(got) == len(texts)
+    for i, edits in got:
+        wanted = [(m.start(), m.end() - m.start(), token_counts.MARK) for m in plain.finditer(texts[i] or "")][::-1]
+        assert [tuple(e) for e in edits] == wanted, texts[i][:200]
+    no_hints = df.select("i", token_counts.redactions(F.coalesce("t", F.lit("")), hints=()).alias("e")).collect()
+    assert sorted(no_hints) == sorted(got)
+
+
+def test_words_of_every_character(word_tokenizer):
+    tokens = word_tokens(packing.vocabulary_path())
+    for c in [*range(1, 0x370), *range(0x1E00, 0x2200)]:
+        for text in (chr(c), f"ab{chr(c)}cD", f"1{chr(c)}'s", f"Don't,{chr(c)}'ve"):
+            assert np.frombuffer(tokens.ids(text.encode()), "<u4").tolist() == word_tokenizer(text), text
+
+
+def test_word_cache_stays_bounded(word_tokenizer):
+    tokens = WordTokens(packing.vocabulary_path(), limit=50)
+    for i in range(400):
+        text = f"the w{i} word"
+        assert np.frombuffer(tokens.ids(text.encode()), "<u4").tolist() == word_tokenizer(text)
+        tokens.trim()
+        assert len(tokens) + len(tokens._older) < 120
+    assert b"the" in tokens or b"the" in tokens._older
+    tokens.clear()
+    assert not tokens and not tokens._older
