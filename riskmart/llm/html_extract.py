@@ -15,10 +15,13 @@ blocks. And blocks of that sample are put together again into pages of other lay
 of elements; menus, side bars, notices, adverts, forms and reader comments before, after and inside the
 article), labelled by where they were put. Every page is then labelled whole, with nothing cut.
 
-Defined cases: null or empty html gives an empty text; broken markup never fails (unclosed elements end
-with their parent, a stray ``<`` is text); without any usable page in the sample the model learns from
-layouts filled with a few built-in words; null ids and urls come back; repeated rows each come back; an
-empty table gives an empty result.
+Defined cases: null or empty html gives an empty text; broken markup never fails and costs linear time: unclosed
+elements end with their parent and a stray ``<`` is text. What has no readable text (``svg``, ``object``,
+``select`` and the like) is left out up to its end tag; if that does not come before the parent's end, the
+tag counts for nothing and the text stays. ``math`` is text. A comment, script or style that never ends hides
+the rest, as in browsers; other raw text that never ends is read. Without any usable page in the sample the
+model learns from layouts filled with a few built-in words; null ids and urls come back; repeated rows each
+come back; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -47,14 +51,19 @@ EPOCHS = 14
 BATCH = 48
 STREAM = 256
 
+# A tag holds no ``<`` outside quotes, so that a stray one costs no more than the way to the next.
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+|[^>]*)>", re.S
+    r"<!--|<![^<>]*>|<\?[^<>]*>|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^<>\"'])*+|[^<>]*)>", re.S
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_SKIPPED = frozenset("script style template noscript title textarea svg math iframe object canvas audio video select".split())
+_RAW = frozenset("script style textarea title iframe".split())  # without markup up to their end tag
+_UNREADABLE = frozenset("template noscript svg object canvas audio video select".split())  # nothing to read up to their end tag
+_BREAKS = frozenset("script style template noscript title textarea iframe".split())  # part the text around them
+DEPTH = 512  # deeper elements take the place of the deepest one
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q ruby rb rt rp s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd semantics".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES = {
@@ -64,6 +73,9 @@ _CLOSES = {
 _SCOPE = frozenset("ul ol dl table body article section div main aside nav header footer form".split())
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
+_COMMENT_END = re.compile("-->")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW}
+_NESTED = 64  # elements without readable text that an end tag may close
 
 
 @dataclass
@@ -89,11 +101,14 @@ def _names(tag: str, attributes: str) -> str:
 
 
 def leaf_blocks(page: str) -> list[Block]:
-    """The page's blocks of text, in order."""
+    """The page's blocks of text, in order; time and memory are linear in the page."""
     blocks: list[Block] = []
     stack: list[tuple[str, str]] = []
+    counts: Counter[str] = Counter()  # open elements by tag
     parts: list[str] = []
     links = linked = at = 0
+    absent: set[str] = set()  # end marks that do not come any more
+    unread: list[tuple] = []  # open elements without readable text, and what there was before each
 
     def flush():
         nonlocal parts, linked
@@ -111,6 +126,21 @@ def leaf_blocks(page: str) -> list[Block]:
             if links:
                 linked += len(text)
 
+    def shorten(depth: int):
+        """Close elements; one without readable text whose parent ends is taken as never opened: its text stays."""
+        while len(stack) > depth:
+            counts[stack.pop()[0]] -= 1
+        while unread and unread[-1][1] > depth:
+            unread.pop()
+
+    def end_of(mark: str, pattern: re.Pattern) -> int | None:
+        if mark in absent:
+            return None
+        found = pattern.search(page, at)
+        if not found:
+            absent.add(mark)
+        return found and found.end()
+
     while True:
         m = _TAG.search(page, at)
         if not m:
@@ -119,24 +149,40 @@ def leaf_blocks(page: str) -> list[Block]:
         add(page[at:m.start()])
         at = m.end()
         if m[2] is None:
+            if m[0] == "<!--":
+                at = end_of("-->", _COMMENT_END) or len(page)
             continue
-        tag, closing = m[2].lower(), m[1] == "/"
-        if tag in _SKIPPED and not closing and not m[3].endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if tag not in ("svg", "math", "select", "object", "audio", "video", "canvas"):
-                flush()
-            at = end.end() if end else len(page)
-            continue
-        if tag == "br":
+        tag, closing, attributes = m[2].lower(), m[1] == "/", m[3]
+        alone = attributes.endswith("/")
+        if tag in _BREAKS and not alone:
+            flush()
+        if tag in _RAW:
+            if not closing and not alone:
+                end = end_of(tag, _RAW_END[tag])
+                at = end or (len(page) if tag in ("script", "style") else at)
+        elif tag in _UNREADABLE:
+            if not closing and not alone:
+                unread.append((tag, len(stack), len(blocks), parts, len(parts), linked, links))
+            elif closing and any(u[0] == tag for u in unread[-_NESTED:]):
+                while True:
+                    opened, depth, n_blocks, before, n_parts, n_linked, links = unread.pop()
+                    if opened == tag:
+                        break
+                shorten(depth)
+                del blocks[n_blocks:], before[n_parts:]
+                parts, linked = before, n_linked
+        elif tag == "br":
             parts.append("\n")
         elif tag in _INLINE:
             if tag == "a":
                 links = 0 if closing else 1
         elif closing:
             flush()
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if counts[tag]:
+                depth = len(stack)
+                while stack[depth - 1][0] != tag:
+                    depth -= 1
+                shorten(depth - 1)
             links = 0
         else:
             flush()
@@ -144,12 +190,14 @@ def leaf_blocks(page: str) -> list[Block]:
             if ends:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in ends:
-                        del stack[i:]
+                        shorten(i)
                         break
                     if stack[i][0] in _SCOPE:
                         break
-            if tag not in _VOID and not m[3].endswith("/"):
-                stack.append((tag, _names(tag, m[3])))
+            if tag not in _VOID and not alone:
+                shorten(DEPTH - 1)
+                stack.append((tag, _names(tag, attributes)))
+                counts[tag] += 1
     flush()
     return blocks
 

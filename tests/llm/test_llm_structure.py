@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -95,6 +96,25 @@ def test_leaf_blocks(page, texts):
     assert [b.text for b in html_extract.leaf_blocks(page)] == texts
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<p>Speed is <math><mi>x</mi></math> today", ["Speed is x today"]), ("<p>A <object data=a> tail</p><p>More</p>", ["A tail", "More"]),
+    ("<p>one<svg>two</p><p>three</p>", ["onetwo", "three"]), ("<p>one <svg><text>no</text></svg>two</p>", ["one two"]),
+    ("<div>a<video><p>no</p></video>b</div><p>c", ["ab", "c"]), ("<select><option>no<option>no</select>t", ["t"]), ("<p>a<canvas><p>b</p>c", ["a", "b", "c"]),
+    ("<noscript><p>no</p></noscript><p>k", ["k"]), ("<svg><svg>no</svg></svg>x", ["x"]), ("<div><svg><p>a</p></div><svg>no</svg>b", ["a", "b"]),
+    ("<p>a<b c</p><p>d", ["a<b c", "d"]), ("<p>x</p><title>t", ["x", "t"]), ("<p>a <x-tag>b</p>", ["a", "b"]),
+])
+def test_no_text_is_lost_to_unclosed_elements(page, texts):
+    assert [b.text for b in html_extract.leaf_blocks(page)] == texts
+
+
+@pytest.mark.parametrize("unit", ["x <y ", '<p class="x', "<div>", "</p>", "<ul><li>", "<svg>", "<!-- x", "<title>", "<svg><object></svg>", "<p>a<svg>b</svg>", "<foo><p>x", "<a '"])
+def test_broken_markup_costs_linear_time(unit):
+    start = time.perf_counter()
+    html_extract.leaf_blocks(unit * 100_000)
+    html_extract.leaf_blocks("<div>" * 5_000 + unit * 20_000 + ">")
+    assert time.perf_counter() - start < 10  # takes about one second; the square of it would take hours
+
+
 @pytest.fixture(scope="module")
 def page_model(spark, small):
     return html_extract.fit_on(spark.read.parquet(small.replace("0.001", "0.01") + "/pages.parquet"))
@@ -123,6 +143,32 @@ def test_layouts_never_seen(page_model):
     assert (np.concatenate(labels) == truth).mean() > 0.97
 
 
+def _labels_by_hand(model, page):
+    """One block after the other in both directions, in double precision; None where the model is undecided."""
+    x = html_extract.features(page).astype(float)
+    p = {k: v.astype(float) for k, v in model.p.items()}
+    n = model.hidden
+    states = {}
+    for d, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+        h, c = np.zeros(n), np.zeros(n)
+        for t in order:
+            a = x[t] @ p["x" + d] + h @ p["h" + d] + p["c" + d]
+            i, f, o = (1 / (1 + np.exp(-a[k * n:(k + 1) * n])) for k in range(3))
+            c = f * c + i * np.tanh(a[3 * n:])
+            h = o * np.tanh(c)
+            states[d, t] = h
+    scores = [np.concatenate([states["f", t], states["b", t]]) @ p["o"] + p["z"][0] for t in range(len(x))]
+    return [None if abs(s) < 1e-3 else s > 0 for s in scores]
+
+
+def test_labels_against_one_page_at_a_time(page_model):
+    pages = html_extract.training_pages([], 60, seed=3)
+    labels = page_model.label([html_extract.features(p) for p in pages])
+    for page, found in zip(pages, labels):
+        for by_hand, label in zip(_labels_by_hand(page_model, page), found):
+            assert by_hand is None or by_hand == label
+
+
 def test_pages_of_odd_rows(spark, page_model):
     rows = [(1, None, None, "t"), (2, "u", "", "t"), (3, "u", "<", "t"), (None, "u", "<article><p>" + LONG + "</article>", "t"), (4, "u", "<div", "t"), (4, "u", "<div", "t")]
     table = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
