@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN_FOLDER: dict[str, str] = {}
+from riskmart.sinks.scratch import shared_folder, written  # noqa: F401 - used by all operators
+
 _CACHES: dict[str, list] = {}
 
 
@@ -29,27 +29,6 @@ def only(owner: str) -> None:
                 cache.clear()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``).
-
-    Only where the session names none, as in tests on one machine, is a temporary one made.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    return _OWN_FOLDER.setdefault("path", "file://" + tempfile.mkdtemp(prefix="riskmart-"))
-
-
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write a frame as a table in the shared folder and read it back: a lineage cut that survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Drop input columns whose names (in any case) an operator is about to write."""
     taken = {n.lower() for n in names}
