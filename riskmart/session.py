@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 # Planner settings the operators rely on: adaptive execution splits the partitions that a hot
@@ -37,3 +41,20 @@ def tune(spark: SparkSession) -> SparkSession:
         if key != "spark.sql.session.timeZone":
             spark.conf.set(key, value)
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, wherever they run: Spark hands the archive on, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_riskmart_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskmart-"), "riskmart.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._riskmart_shipped = True

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from riskmart.functions import cleaning
 from riskmart.operators import intervals, pages
 from riskmart.plans import landing
-from riskmart.sources import readers, schemas
+from riskmart.sinks.scratch import run_folder
+from riskmart.sources import feed, readers, schemas
 from riskmart.workload.registry import query
 from riskmart.workload.standins import DAILY_PAGES_SQL, daily_pages
 
@@ -80,11 +84,18 @@ def page_audit(t):
 )
 def page_landing(t):
     """Events as the awards of daily page files: every row of every readable page, listed fields and others."""
+    bodies = page_bodies(t).select("year", "offset", F.from_json("body", schemas.ENVELOPE).alias("e"))
+    read = readers.page_columns(bodies.select("year", "offset", "e.*"))
+    return _landed(read)
+
+
+def page_bodies(t):
+    """The events of a day in pages of 25 consecutive ids, each an envelope with an award per event."""
     award = F.map_from_arrays(
         F.array(F.lit("id"), F.lit("agency"), F.lit("user")),
         F.array(F.col("event_id").cast("string"), F.col("event_type"), F.col("user_id").cast("string")),
     )
-    bodies = (
+    return (
         t.events.groupBy(F.to_date("ts").alias("year"), F.floor(F.col("event_id") / 25).alias("offset"))
         .agg(F.collect_list(award).alias("award"), F.count_if(F.col("event_type") == "error").alias("errors"))
         .select("year", "offset", F.to_json(F.struct(F.struct(
@@ -92,8 +103,42 @@ def page_landing(t):
             F.when(F.col("errors") >= 10, F.lit("rate limited")).alias("serviceNotification"),
         ).alias("response"))).alias("body"))
     )
-    read = readers.page_columns(bodies.select("year", "offset", F.from_json("body", schemas.ENVELOPE).alias("e")).select("year", "offset", "e.*"))
-    return landing.awards_of(read).select(F.col("year").alias("feed"), "id", "agency", F.col("extra")["user"].alias("extra_user"))
+
+
+def _landed(pages):
+    found = landing.awards_of(pages)
+    return found.select(F.col("year").alias("feed"), "id", "agency", F.col("extra")["user"].alias("extra_user"))
+
+
+def daily_feed(t):
+    """The same pages as files of a paged feed, and the feed read back as a source."""
+    root = f"{run_folder(t.spark)}/feed-{uuid.uuid4().hex}"
+    pages = page_bodies(t).select(F.col("year").cast("string").alias("feed"), F.col("offset").alias("page"), "body")
+    first = t.events.groupBy(F.to_date("ts").cast("string").alias("feed")).agg(F.min(F.floor(F.col("event_id") / 25)).alias("first_page"))
+    feed.write_feed(pages.join(first, "feed").withColumn("offset", (F.col("page") - F.col("first_page")) * 25), root)
+    return feed.read_feed(t.spark, root, rowsPerPage=25)
+
+
+_FEED_LANDING_SQL = """WITH e AS (SELECT *, event_id // 25 AS page, CAST(ts AS DATE) AS feed FROM events),
+            p AS (SELECT feed, page FROM e GROUP BY feed, page HAVING count(*) FILTER (event_type = 'error') < 10)
+       SELECT CAST(e.feed AS VARCHAR) AS feed, CAST(event_id AS VARCHAR) AS id, event_type AS agency,
+              CAST(user_id AS VARCHAR) AS extra_user
+       FROM e JOIN p USING (feed, page)"""
+
+
+@query("feed_landing", _FEED_LANDING_SQL)
+def feed_landing(t):
+    """Every award of every page of the feed, through the paged source: the rows of ``page_landing``."""
+    return _landed(feed.parsed(daily_feed(t)))
+
+
+FEED_FROM, FEED_TO = date(2024, 1, 8), date(2024, 1, 21)
+
+
+@query("feed_date_range", f"{_FEED_LANDING_SQL} WHERE e.feed BETWEEN DATE '{FEED_FROM}' AND DATE '{FEED_TO}'")
+def feed_date_range(t):
+    """Awards that start within two weeks: the range is pushed to the source, which opens no page of other days."""
+    return _landed(feed.parsed(daily_feed(t).filter(feed.between_dates(FEED_FROM, FEED_TO))))
 
 
 @query(
