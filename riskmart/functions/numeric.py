@@ -24,11 +24,15 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(ratio_or_zero(part * F.lit(100.0), whole), digits)
 
 
+def key_digest(key: Column, salt: str) -> Column:
+    """Salted MD5 of a key, as 32 hexadecimal digits; a null key counts as empty text."""
+    return F.md5(F.concat(F.lit(salt), F.coalesce(key.cast("string"), F.lit(""))))
+
+
 def hash_fraction(key: Column, salt: str) -> Column:
     """Reproducible number in [0, 1) from a key: the first 32 bits of a salted MD5.
 
     Depends on nothing but the key and the salt, so it is the same under any partitioning,
     file order or retry.
     """
-    digest = F.md5(F.concat(F.lit(salt), F.coalesce(key.cast("string"), F.lit(""))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    return F.conv(F.substring(key_digest(key, salt), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)

@@ -32,6 +32,14 @@ def feature_frame(df: DataFrame, target: str = "is_terminated", include_boolean:
     return features.complete_cases(made)
 
 
+def fit_and_valid(df: DataFrame, key: str, target: str, train_ratio: float, seed: int, stratified: bool) -> DataFrame:
+    """Training rows with the column ``part``: ``fit`` or ``valid``."""
+    names = ("fit", "valid")
+    if stratified:
+        return split.stratified_split(df, key, target, train_ratio, seed, names, "part", "inner")
+    return split.hash_split(df, key, train_ratio, seed, names, "part", "inner")
+
+
 def summarize(predictions: DataFrame, prefix: str) -> dict[str, float | None]:
     """The six metrics of one model: two one-row aggregates, nothing else reaches the driver.
 
@@ -79,17 +87,19 @@ class Experiment:
         folds: int = 3,
         parallelism: int = 4,
         partitions: int | None = None,
+        stratified: bool = False,
     ) -> tuple[PipelineModel, dict[str, float | None]]:
         """Weight, split off a validation part, fit or tune, measure, log.
 
         The narrow training columns are laid out once by key and persisted (spilling to disk),
         as tuning reads them dozens of times; losing an executor only recomputes its blocks.
+        ``stratified`` gives both parts the exact share of each class.
         """
         if self.train is None:
             raise ValueError("call load() before fit()")
         wanted = [self.key, self.target, *self.features]
         weighted = features.class_weights(self.train.select(wanted), self.target)
-        parts = split.hash_split(weighted, self.key, train_ratio, seed, ("fit", "valid"), "part", "inner")
+        parts = fit_and_valid(weighted, self.key, self.target, train_ratio, seed, stratified)
         fitting = split.hash_folds(parts.filter("part = 'fit'").drop("part"), self.key, folds, seed)
         n = partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         fitting = models.stable_layout(fitting, self.key, n).persist(StorageLevel.MEMORY_AND_DISK)
@@ -188,8 +198,8 @@ def train_and_compare(
     experiment = Experiment(spark, zones, name, target).load(train, test)
     chosen = specs or {kind: ModelSpec(kind, grid=models.GRIDS[kind]) for kind in models.GRIDS}
     fitted = {label: experiment.fit(spec, label, **options)[0] for label, spec in chosen.items()}
-    held_out = split.hash_split(
-        train, experiment.key, options.get("train_ratio", 0.8), options.get("seed", 42), ("fit", "valid"), "part", "inner"
+    held_out = fit_and_valid(
+        train, experiment.key, target, options.get("train_ratio", 0.8), options.get("seed", 42), options.get("stratified", False)
     ).filter("part = 'valid'")
     report = evaluation_report(experiment, fitted, held_out)
     writers.write_report(report["comparison"], f"{zones.reports}/{name}/comparison")

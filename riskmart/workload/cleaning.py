@@ -288,6 +288,31 @@ def hash_split_nested(t):
     return split.hash_split(train, "o_orderkey", names=("fit", "valid"), column="part", level="inner")
 
 
+def _stratified_sql(rows: str, level: str, first: str, second: str, column: str) -> str:
+    """Of each status the exact share with the least digests."""
+    return f"""SELECT o_orderkey, o_orderstatus, CASE WHEN
+            row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('{level}:42:' || CAST(o_orderkey AS VARCHAR)))
+            <= floor(0.8::DOUBLE * count(*) OVER (PARTITION BY o_orderstatus) + 0.5) THEN '{first}' ELSE '{second}' END AS {column}
+        FROM {rows}"""
+
+
+@query("stratified_split", _stratified_sql("orders", "outer", "train", "test", "split"))
+def stratified_split(t):
+    """80 % of every order status, to the row."""
+    return split.stratified_split(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderkey", "o_orderstatus")
+
+
+@query(
+    "stratified_split_nested",
+    f"""WITH o AS ({_stratified_sql("orders", "outer", "train", "test", "split")}),
+             t AS (SELECT o_orderkey, o_orderstatus FROM o WHERE split = 'train')
+        {_stratified_sql("t", "inner", "fit", "valid", "part")}""",
+)
+def stratified_split_nested(t):
+    train = stratified_split(t).filter("split = 'train'").drop("split")
+    return split.stratified_split(train, "o_orderkey", "o_orderstatus", names=("fit", "valid"), column="part", level="inner")
+
+
 @query(
     "funding_features",
     f"""SELECT award_id, round(funds_obligated_amt / nullif(estimated_total_amt + 1, 0), 6) AS funding_ratio,
