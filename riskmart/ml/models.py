@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WEIGHT = "sample_weight"
@@ -120,14 +120,18 @@ def fit(
     return search.fit(train).bestModel
 
 
+def class_one() -> Column:
+    """The probability of class 1 (0.0 if the model knows only class 0)."""
+    return F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))
+
+
 def score(model: PipelineModel, df: DataFrame, target: str, keep: Sequence[str] = ()) -> DataFrame:
     """``label, prediction, score``: the score is the probability of class 1 (0.0 if there is none)."""
-    probability = vector_to_array("probability")
     return model.transform(with_label(df, target)).select(
         *keep,
         F.col("label").cast("int").alias("label"),
         F.col("prediction").cast("int").alias("prediction"),
-        F.coalesce(F.get(probability, F.lit(1)), F.lit(0.0)).alias("score"),
+        class_one().alias("score"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.storagelevel import StorageLevel
 
 from riskmart.ml import models
 from riskmart.ml.models import ModelSpec
+from riskmart.ml.stages import FeatureSteps, carried
 from riskmart.operators import features, metrics, runs, split
 from riskmart.operators.dedupe import union_all
 from riskmart.sinks import writers
@@ -24,12 +25,8 @@ METRICS = ("accuracy", "precision", "recall", "f1_score", "auc_roc", "auc_pr")
 
 
 def feature_frame(df: DataFrame, target: str = "is_terminated", include_boolean: bool = False) -> DataFrame:
-    """Numeric flags, funding and log features, complete rows. The same function serves train and test."""
-    flags = [target, "has_flagged_words"]
-    if include_boolean:
-        flags += [name for name, dtype in df.dtypes if dtype == "boolean"]
-    made = features.log_features(features.funding_features(features.bool_to_int(df, flags)))
-    return features.complete_cases(made)
+    """Numeric flags, funding and log features, complete rows. The same stage serves train, test and saved models."""
+    return FeatureSteps(target, includeBoolean=include_boolean).transform(df)
 
 
 def fit_and_valid(df: DataFrame, key: str, target: str, train_ratio: float, seed: int, stratified: bool) -> DataFrame:
@@ -56,7 +53,10 @@ def summarize(predictions: DataFrame, prefix: str) -> dict[str, float | None]:
 
 
 class Experiment:
-    """One target, one feature list and a run table to append to."""
+    """One target, one feature list and a run table to append to.
+
+    With ``steps`` the saved models begin with them: they score rows of the wide table, not of the feature frame.
+    """
 
     def __init__(
         self,
@@ -66,9 +66,11 @@ class Experiment:
         target: str = "is_terminated",
         features: Sequence[str] | None = None,
         key: str = "award_id",
+        steps: FeatureSteps | None = None,
     ):
         self.spark, self.zones, self.name = spark, zones, name
         self.target, self.features, self.key = target, features, key
+        self.steps = steps
         self.train: DataFrame | None = None
         self.test: DataFrame | None = None
 
@@ -130,7 +132,8 @@ class Experiment:
         last = model.stages[-1]
         params = {p.name: str(v) for p, v in last.extractParamMap().items()}
         values = {k: float(v) for k, v in found.items() if v is not None}
-        writers.save_model(model, f"{self.zones.models}/{run_id}")
+        stored = carried(model, self.steps, self.features) if self.steps else model
+        writers.save_model(stored, f"{self.zones.models}/{run_id}")
         row = [(run_id, run_name, self.name, started, params, values, {})]
         writers.append_rows(self.spark.createDataFrame(row, schemas.RUN).coalesce(1), self.zones.runs)
         return run_id
@@ -193,9 +196,9 @@ def train_and_compare(
     **options: Any,
 ) -> dict[str, DataFrame]:
     """Tune the three classifiers on the wide table, log them and write the comparison."""
-    train = feature_frame(readers.load_train(spark, zones), target)
-    test = feature_frame(readers.load_test(spark, zones), target)
-    experiment = Experiment(spark, zones, name, target).load(train, test)
+    steps = FeatureSteps(target)
+    train, test = (steps.transform(load(spark, zones)) for load in (readers.load_train, readers.load_test))
+    experiment = Experiment(spark, zones, name, target, steps=steps).load(train, test)
     chosen = specs or {kind: ModelSpec(kind, grid=models.GRIDS[kind]) for kind in models.GRIDS}
     fitted = {label: experiment.fit(spec, label, **options)[0] for label, spec in chosen.items()}
     held_out = fit_and_valid(

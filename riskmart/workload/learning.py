@@ -6,13 +6,19 @@ three classifiers have closed forms in the class-weighted shares of positives, a
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from riskmart.functions.text import word_count
 from riskmart.ml import models
 from riskmart.ml.models import ModelSpec
+from riskmart.ml.stages import FeatureSteps, carried, predictions
 from riskmart.operators import features, lexicon, metrics, runs, split
+from riskmart.sinks import writers
+from riskmart.sinks.scratch import run_folder
 from riskmart.workload.registry import query
 from riskmart.workload.standins import WORDS, titled_documents
 
@@ -132,6 +138,38 @@ def ml_logistic_closed_form(t):
     return _saturated(t, ModelSpec(models.LOGISTIC))
 
 
+@query("ml_pipeline_closed_form", _closed_form("s"))
+def ml_pipeline_closed_form(t):
+    """A model saved with its feature steps, loaded again, scores the raw lines with their boolean columns."""
+    raw = t.lineitem.selectExpr("l_returnflag = 'R' AS is_terminated", "l_discount > 0.05 AS discounted")
+    steps = FeatureSteps(TARGET, ["discounted"])
+    train = features.class_weights(steps.transform(raw), TARGET)
+    fitted = models.fit(ModelSpec(models.LOGISTIC), train, TARGET, ["discounted"])
+    path = f"{run_folder(t.spark)}/model-{uuid.uuid4().hex}"
+    writers.save_model(carried(fitted, steps, ["discounted"]), path)
+    scored = predictions(PipelineModel.load(path), raw, TARGET, ["discounted"])
+    return scored.groupBy(F.col("discounted").cast("double").alias("discounted")).agg(F.round(F.max("score"), 3).alias("score"))
+
+
+@query("ml_saved_pipeline")
+def ml_saved_pipeline(t):
+    """Raw labelled documents, flags still boolean, scored by a forest that carries its feature steps."""
+    raw = lexicon.lexicon_features(titled_documents(t), WORDS).withColumn("n_words", word_count(F.col("abstract")))
+    raw = raw.drop("title", "abstract").join(t.labels.withColumn(TARGET, F.col("toxic") == 1).drop("toxic"), "doc_id")
+    steps = FeatureSteps(TARGET)
+    prepared = split.hash_split(steps.transform(raw), "doc_id").filter("split = 'train'")
+    names = features.feature_columns(prepared, TARGET, drop=("doc_id",))
+    partitions = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    train = models.stable_layout(features.class_weights(prepared, TARGET), "doc_id", partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = models.fit(ModelSpec(models.RANDOM_FOREST, {"numTrees": 20, "maxDepth": 5}), train, TARGET, names)
+    finally:
+        train.unpersist()
+    path = f"{run_folder(t.spark)}/model-{uuid.uuid4().hex}"
+    writers.save_model(carried(fitted, steps, names), path)
+    return predictions(PipelineModel.load(path), raw, TARGET, ["doc_id"])
+
+
 @query("ml_tree_closed_form", _closed_form("s"))
 def ml_tree_closed_form(t):
     """One tree of a forest that sees every row and every feature."""

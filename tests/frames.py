@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def rows(df, *order):
     """Plain tuples, sorted."""
