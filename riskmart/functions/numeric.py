@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,3 +37,8 @@ def hash_fraction(key: Column, salt: str) -> Column:
     file order or retry.
     """
     return F.conv(F.substring(key_digest(key, salt), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
+def class_probability(vector: str, cls: int = 1) -> Column:
+    """Probability of a class from a probability vector; 0.0 if the model does not know the class."""
+    return F.coalesce(F.get(vector_to_array(vector), F.lit(cls)), F.lit(0.0))

@@ -8,13 +8,14 @@ from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.functions.numeric import class_probability
+from riskmart.ml.selection import search
+
 WEIGHT = "sample_weight"
 RANDOM_FOREST, LOGISTIC, GBT = "random_forest", "logistic_regression", "gbt"
 
@@ -97,7 +98,10 @@ def fit(
     fold_col: str | None = None,
     parallelism: int = 4,
 ) -> PipelineModel:
-    """Fit once, or pick the grid point with the best cross-validated ROC area and refit it."""
+    """Fit once, or pick the grid point with the best cross-validated exact ROC area and refit it.
+
+    ``fold_col`` holds fold numbers from 0; without one, rows are dealt by a hash of their values.
+    """
     classifier = spec.estimator(weighted)
     pipeline, train = _stages(classifier, features), with_label(train, target)
     if not spec.grid:
@@ -105,24 +109,10 @@ def fit(
     grid = ParamGridBuilder()
     for name, values in spec.grid.items():
         grid = grid.addGrid(classifier.getParam(name), list(values))
-    evaluator = BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"
-    )
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid.build(),
-        evaluator=evaluator,
-        numFolds=folds,
-        seed=spec.seed,
-        parallelism=parallelism,
-        **({"foldCol": fold_col} if fold_col else {}),
-    )
-    return search.fit(train).bestModel
-
-
-def class_one() -> Column:
-    """The probability of class 1 (0.0 if the model knows only class 0)."""
-    return F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))
+    if not fold_col:
+        fold_col = "_fold"
+        train = train.withColumn(fold_col, F.pmod(F.xxhash64(F.lit(spec.seed), *train.columns), F.lit(folds)).cast("int"))
+    return search(pipeline, grid.build(), train, folds, fold_col, parallelism)[0]
 
 
 def score(model: PipelineModel, df: DataFrame, target: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -131,7 +121,7 @@ def score(model: PipelineModel, df: DataFrame, target: str, keep: Sequence[str]
         *keep,
         F.col("label").cast("int").alias("label"),
         F.col("prediction").cast("int").alias("prediction"),
-        class_one().alias("score"),
+        class_probability("probability").alias("score"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.functions.numeric import class_probability
 from riskmart.operators import features
 
 
@@ -67,8 +68,6 @@ def carried(model: PipelineModel, steps: FeatureSteps, names: Sequence[str]) ->
 
 def predictions(model: PipelineModel, df: DataFrame, target: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """``label, prediction, score`` of rows that need not be labelled (null label)."""
-    from riskmart.ml.models import class_one
-
     scored = model.transform(df)
     label = F.col(target).cast("int") if target and target in scored.columns else F.lit(None).cast("int")
-    return scored.select(*keep, label.alias("label"), F.col("prediction").cast("int").alias("prediction"), class_one().alias("score"))
+    return scored.select(*keep, label.alias("label"), F.col("prediction").cast("int").alias("prediction"), class_probability("probability").alias("score"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +52,7 @@ def confusion_matrix(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def score_curve(df: DataFrame, by: Sequence[str] = (), buckets: int = 512) -> DataFrame:
+def score_curve(df: DataFrame, by: Sequence[str] = (), buckets: int = 512, neighbours: bool = False) -> DataFrame:
     """Per distinct score: its positives and negatives, and those at or above it.
 
     Columns ``score, pos, neg, tp, fp, n_pos, n_neg``. A running sum over all scores would be a
@@ -60,14 +60,16 @@ def score_curve(df: DataFrame, by: Sequence[str] = (), buckets: int = 512) -> Da
     the totals of the higher buckets (one row per bucket). Equal scores are merged before the
     shuffle, so one score shared by a third of the rows is one row. The bucket bounds are
     quantiles of the scores, read to the driver as ``buckets`` numbers; they balance the work
-    and do not affect the result.
+    and do not affect the result. With ``neighbours`` each row also has the positives and negatives of
+    the next lower score, ``next_pos`` and ``next_neg`` (null on the last one): a bucket's last score gets
+    them from the first score of the next bucket that has any.
     """
     scored = df.select(*by, "label", F.col("score").cast("double").alias("score")).filter(
         "score IS NOT NULL AND NOT isnan(score)"
     )
-    bucketer = QuantileDiscretizer(
-        numBuckets=buckets, inputCol="score", outputCol="_bucket", relativeError=0.5 / buckets
-    ).fit(scored)
+    shares = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(scored.approxQuantile("score", shares, 0.5 / buckets))) or [0.0]  # none of an empty table
+    bucketer = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="score", outputCol="_bucket")
     groups = scored.groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
@@ -76,7 +78,7 @@ def score_curve(df: DataFrame, by: Sequence[str] = (), buckets: int = 512) -> Da
     whole = Window.partitionBy(*by)
     offsets = (
         bucketed.groupBy(*by, "_bucket")
-        .agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+        .agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.max_by(F.struct("pos", "neg"), "score").alias("_first"))
         .select(
             *by,
             "_bucket",
@@ -84,11 +86,14 @@ def score_curve(df: DataFrame, by: Sequence[str] = (), buckets: int = 512) -> Da
             F.coalesce(F.sum("_neg").over(higher), F.lit(0)).alias("_fp"),
             F.sum("_pos").over(whole).alias("n_pos"),
             F.sum("_neg").over(whole).alias("n_neg"),
+            *([F.lead("_first").over(Window.partitionBy(*by).orderBy(F.col("_bucket").desc())).alias("_next")] if neighbours else []),
         )
     )
-    inside = (
-        Window.partitionBy(*by, "_bucket").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    downwards = Window.partitionBy(*by, "_bucket").orderBy(F.col("score").desc())
+    inside = downwards.rowsBetween(Window.unboundedPreceding, 0)
+    beside = [
+        F.coalesce(F.lead(c).over(downwards), F.col(f"_next.{c}")).alias(f"next_{c}") for c in ("pos", "neg") if neighbours
+    ]
     # Building the hash side from the few offsets keeps the scores partitioned by bucket, which
     # is what the window below needs: the join and the window share one shuffle. Every bucket has
     # its offset; the join is an outer one only so that no null filter is pushed below the
@@ -102,6 +107,7 @@ def score_curve(df: DataFrame, by: Sequence[str] = (), buckets: int = 512) -> Da
         (F.col("_fp") + F.sum("neg").over(inside)).alias("fp"),
         "n_pos",
         "n_neg",
+        *beside,
     )
 
 
@@ -152,9 +158,22 @@ def _anchored(points: DataFrame, df: DataFrame, by: Sequence[str], anchor: dict[
     return points.unionByName(first, allowMissingColumns=True)
 
 
-def roc_points(df: DataFrame, by: Sequence[str] = (), buckets: int = 512) -> DataFrame:
-    """``(threshold, fpr, tpr)`` for every distinct score, plus the origin (null threshold)."""
-    points = score_curve(df, by, buckets).select(
+def roc_points(df: DataFrame, by: Sequence[str] = (), buckets: int = 512, thin: str | None = None) -> DataFrame:
+    """``(threshold, fpr, tpr)`` for every distinct score, plus the origin (null threshold).
+
+    ``thin`` leaves out points that the curve does not need, never the highest or lowest score:
+    ``"equal_steps"`` those whose step from the point before equals the step to the next (what plotting
+    libraries drop), ``"collinear"`` all that lie on the straight line between their neighbours.
+    """
+    if thin not in (None, "equal_steps", "collinear"):
+        raise ValueError(f"unknown way to thin a curve: {thin!r}")
+    curve = score_curve(df, by, buckets, neighbours=thin is not None)
+    if thin:
+        pos, neg, next_pos, next_neg = (F.col(c) for c in ("pos", "neg", "next_pos", "next_neg"))
+        same = (pos == next_pos) & (neg == next_neg) if thin == "equal_steps" else pos * next_neg == neg * next_pos
+        first = (F.col("tp") == pos) & (F.col("fp") == neg)
+        curve = curve.filter(first | ~F.coalesce(same, F.lit(False)))
+    points = curve.select(
         *by,
         F.col("score").alias("threshold"),
         ratio_or_null(F.col("fp"), F.col("n_neg")).alias("fpr"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskmart.ml import selection
 from riskmart.operators import metrics, runs
 from riskmart.workload.registry import query
 from riskmart.workload.standins import PREDICTIONS_SQL, RUNS_SQL, predictions, runs as run_table
@@ -89,6 +90,38 @@ def roc_points(t):
     return _rounded(metrics.roc_points(predictions(t), _BY), "fpr", "tpr")
 
 
+def _thinned_sql(same: str) -> str:
+    return f"""WITH p AS ({PREDICTIONS_SQL}), c AS ({_CURVE_SQL}),
+            n AS (SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, row_number() OVER w AS nth FROM c
+                  WINDOW w AS (PARTITION BY model, split ORDER BY score DESC))
+        SELECT model, split, score AS threshold, round(fp::DOUBLE / n_neg, 6) AS fpr, round(tp::DOUBLE / n_pos, 6) AS tpr
+        FROM n WHERE nth = 1 OR next_pos IS NULL OR NOT ({same})
+        UNION ALL SELECT DISTINCT model, split, NULL, 0.0::DOUBLE, 0.0::DOUBLE FROM p"""
+
+
+@query("roc_points_thinned", _thinned_sql("pos = next_pos AND neg = next_neg"))
+def roc_points_thinned(t):
+    """The points that a plot of the curve needs: as drawn, with equal steps merged."""
+    return _rounded(metrics.roc_points(predictions(t), _BY, thin="equal_steps"), "fpr", "tpr")
+
+
+@query("roc_points_collinear", _thinned_sql("pos * next_neg = neg * next_pos"))
+def roc_points_collinear(t):
+    """Corners of the curve alone."""
+    return _rounded(metrics.roc_points(predictions(t), _BY, thin="collinear"), "fpr", "tpr")
+
+
+@query(
+    "model_choice",
+    f"""WITH p AS ({PREDICTIONS_SQL}), c AS ({_CURVE_SQL}), a AS ({_AREAS_SQL})
+        SELECT model AS point, count(auc_roc) AS n_folds, round(avg(auc_roc), 6) AS area FROM a GROUP BY model
+        ORDER BY avg(auc_roc) DESC, model LIMIT 1""",
+)
+def model_choice(t):
+    """Best of the three models by the mean exact area over both parts, all measured in one job."""
+    return _rounded(selection.best_point(predictions(t).withColumnsRenamed({"model": "point", "split": "fold"})), "area")
+
+
 @query(
     "pr_points",
     f"""WITH p AS ({PREDICTIONS_SQL}), c AS ({_CURVE_SQL})
