@@ -12,6 +12,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.sinks import layout
+
 
 def count_written(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return df.sparkSession.read.format(fmt).load(path).count()
@@ -62,16 +64,20 @@ def clear_json_partitions(spark: SparkSession, path: str, by: str, values: Itera
 def replace_keyed_table(df: DataFrame, path: str, keys: str | Sequence[str], partition: str | None = None) -> int:
     """Replace a Parquet table laid out for lookups by ``keys``, those of them that exist.
 
-    Rows are balanced over files by size, so a key value (or null) with a third of the rows is
-    written by as many tasks as it needs. Inside a file they are sorted by the first key, and every
-    key column has a bloom filter.
+    One key: rows are balanced over files by size, so a key value (or null) with a third of the rows is
+    written by as many tasks as it needs, and inside a file they are sorted by the key. Several keys (and no
+    partition column): rows follow a space-filling curve, so that a lookup by any of them skips most row
+    groups. Every key column has a bloom filter.
     """
     names = {c.lower(): c for c in df.columns}
     tops = [k for k in ([keys] if isinstance(keys, str) else keys) if k.split(".")[0].lower() in names]
     partition = partition if partition and partition.lower() in names else None
     first = [partition] if partition else []
-    spread = df.hint("rebalance", *[F.col(c) for c in [*first, *tops[:1]]]) if first or tops else df
-    laid_out = spread.sortWithinPartitions(*first, *tops[:1]) if first or tops else spread
+    if len(tops) > 1 and not partition:
+        laid_out = layout.along_curve(df, tops)
+    else:
+        spread = df.hint("rebalance", *[F.col(c) for c in [*first, *tops[:1]]]) if first or tops else df
+        laid_out = spread.sortWithinPartitions(*first, *tops[:1]) if first or tops else spread
     writer = laid_out.write.mode("overwrite")
     for key in tops:
         writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
