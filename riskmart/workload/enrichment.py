@@ -78,21 +78,21 @@ def interval_lookup_two_types(t):
 
 
 @query(
-    "interval_lookup_time",
-    """WITH t AS (SELECT CAST(user_id % 50 AS VARCHAR) AS state, ts AS s, ts + INTERVAL 3 HOUR AS e, event_type AS party
-                  FROM events WHERE event_id % 2 = 0),
-            f AS (SELECT event_id, CAST(user_id % 50 AS VARCHAR) AS state, ts FROM events WHERE event_id % 2 = 1)
+    "interval_lookup_events",
+    """WITH t AS (SELECT CAST(user_id % 50 AS VARCHAR) AS state, ts + INTERVAL 1 MICROSECOND AS s, ts + INTERVAL 3 HOUR AS e,
+                         event_type AS party FROM events),
+            f AS (SELECT event_id, CAST(user_id % 50 AS VARCHAR) AS state, ts FROM events)
        SELECT f.event_id, coalesce(nullif(arg_max_null(party, (s, e, coalesce(party, ''))), ''), 'Unknown') AS representant
        FROM f LEFT JOIN t ON t.state = f.state AND t.s <= f.ts AND t.e >= f.ts GROUP BY f.event_id""",
 )
-def interval_lookup_time(t):
-    """What the latest earlier event of a user group was, if it began at most three hours before: any time of day."""
+def interval_lookup_events(t):
+    """For every event, what the latest earlier one of its user group was, if at most three hours before."""
     state = (F.col("user_id") % 50).cast("string")
-    windows = t.events.filter("event_id % 2 = 0").select(
-        F.lit("event").alias("type"), state.alias("state"), F.col("ts").alias("start"),
+    windows = t.events.select(
+        F.lit("event").alias("type"), state.alias("state"), (F.col("ts") + F.expr("INTERVAL '0.000001' SECOND")).alias("start"),
         (F.col("ts") + F.expr("INTERVAL 3 HOURS")).alias("end"), F.col("event_type").alias("party"),
     )
-    facts = t.events.filter("event_id % 2 = 1").select("event_id", state.alias("state"), "ts")
+    facts = t.events.select("event_id", state.alias("state"), "ts")
     found = intervals.interval_lookup(facts, windows, "state", "ts", {"event": "representant"}, granularity="microsecond")
     return found.select("event_id", "representant")
 

@@ -55,7 +55,7 @@ def json_field(t):
 
 
 @query(
-    "page_audit",
+    "page_audit_events",
     f"""WITH p AS ({DAILY_PAGES_SQL}),
         o AS (SELECT feed, "offset", count(*) AS copies, bool_and(failed) AS failed,
                      max(n_rows) FILTER (NOT failed) AS rows, coalesce(sum(n_rows) FILTER (NOT failed), 0) AS every
@@ -71,7 +71,7 @@ def json_field(t):
                early_short_pages, ends_short AND early_short_pages = 0 AND missing_pages = 0 AND failed_pages = 0
                AND duplicate_pages = 0 AND misaligned_pages = 0 AS complete FROM b""",
 )
-def page_audit(t):
+def page_audit_events(t):
     return pages.page_audit(daily_pages(t), "feed", "offset", "n_rows", "failed")
 
 
