@@ -38,7 +38,7 @@ class WordTokens(dict):
     whose words move back as they are met again. Frequent words stay, words met once fall out.
     """
 
-    def __init__(self, path: str, limit: int = 350_000):
+    def __init__(self, path: str, limit: int = 220_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
