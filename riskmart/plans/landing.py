@@ -69,9 +69,9 @@ def land_awards(
         raise IncompleteDownload(audit)
     awards = awards_of(readers.read_pages(spark, source).filter(F.col("year").between(start_year, end_year)))
     path = zones.landing(z.AWARDS)
-    if overwrite:
-        writers.clear_json_partitions(spark, path, "year", [r["year"] for r in audit if not r["n_rows"]])
     writers.write_json_partitions(awards, path, "year", overwrite)
+    if overwrite:  # after the new rows are safe: a failed write clears nothing
+        writers.clear_json_partitions(spark, path, "year", [r["year"] for r in audit if not r["n_rows"]])
     landed = readers.read_json_lines(spark, path, schemas.LANDED_AWARD)
     return LandedAwards(landed.filter(F.col("year").between(start_year, end_year)).count(), audit)
 

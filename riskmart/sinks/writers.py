@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from riskmart.sinks import layout
 
 
+_PLAIN = ("parquet", "json", "csv", "orc")
+# What a replacement keeps beside a table's folder for a while.
+_NEW, _NEW_DONE, _OLD = ".being-written", ".written", ".replaced"
+
+
 def count_written(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return df.sparkSession.read.format(fmt).load(path).count()
 
@@ -22,12 +27,57 @@ def count_written(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 def _replacing(df: DataFrame, fmt: str):
     """A writer that replaces a table; formats that keep a schema apart from the files replace it too."""
     writer = df.write.format(fmt).mode("overwrite")
-    return writer if fmt in ("parquet", "json", "csv", "orc") else writer.option("overwriteSchema", "true")
+    return writer if fmt in _PLAIN else writer.option("overwriteSchema", "true")
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of its paths."""
+    context = spark.sparkContext
+    make = context._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(context._jsc.hadoopConfiguration()), make
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Finish or undo a swap that was cut short: the newest whole copy of the table is at its path again."""
+    files, make = _files(spark, path)
+    if files.exists(make(path)):
+        return
+    for aside in (path + _NEW_DONE, path + _OLD):
+        if files.exists(make(aside)) and files.rename(make(aside), make(path)):
+            return
+
+
+def swapped_in(spark: SparkSession, path: str, write) -> None:
+    """Replace a folder by what ``write(folder)`` makes: written aside in full, then put in place by renames.
+
+    If writing fails, the table is as it was. If the job dies between the renames, a whole copy lies beside the path and
+    the next replacement (or :func:`restore`) puts it back before anything else. Readers find the old or the new files,
+    or for the moment between two renames none.
+    """
+    restore(spark, path)
+    files, make = _files(spark, path)
+    for aside in (_NEW, _NEW_DONE, _OLD):
+        files.delete(make(path + aside), True)
+    write(path + _NEW)
+    _rename(files, make(path + _NEW), make(path + _NEW_DONE))  # from here on it counts as whole
+    if files.exists(make(path)):
+        _rename(files, make(path), make(path + _OLD))
+    _rename(files, make(path + _NEW_DONE), make(path))
+    files.delete(make(path + _OLD), True)
+    spark.catalog.refreshByPath(path)
+
+
+def _rename(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Replace the whole table; returns the rows written."""
-    _replacing(df, fmt).save(path)
+    """Replace the whole table; returns the rows written. The old one stays until the new one is whole."""
+    if fmt in _PLAIN:
+        swapped_in(df.sparkSession, path, lambda folder: df.write.format(fmt).save(folder))
+    else:
+        _replacing(df, fmt).save(path)
     return count_written(df, path, fmt)
 
 
@@ -42,7 +92,10 @@ def balanced(df: DataFrame, *by: str) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> None:
     """Replace a table partitioned by ``by``; each partition's rows are written together."""
-    _replacing(balanced(df, *by), fmt).partitionBy(*by).save(path)
+    if fmt in _PLAIN:
+        swapped_in(df.sparkSession, path, lambda folder: balanced(df, *by).write.format(fmt).partitionBy(*by).save(folder))
+    else:
+        _replacing(balanced(df, *by), fmt).partitionBy(*by).save(path)
 
 
 def write_json_partitions(df: DataFrame, path: str, by: str = "year", overwrite: bool = True) -> None:
@@ -78,12 +131,12 @@ def replace_keyed_table(df: DataFrame, path: str, keys: str | Sequence[str], par
     else:
         spread = df.hint("rebalance", *[F.col(c) for c in [*first, *tops[:1]]]) if first or tops else df
         laid_out = spread.sortWithinPartitions(*first, *tops[:1]) if first or tops else spread
-    writer = laid_out.write.mode("overwrite")
+    writer = laid_out.write
     for key in tops:
         writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
     if partition:
         writer = writer.partitionBy(partition)
-    writer.parquet(path)
+    swapped_in(df.sparkSession, path, writer.parquet)
     return count_written(df, path)
 
 

@@ -211,3 +211,35 @@ def test_zone_paths(monkeypatch):
     monkeypatch.setenv("RISKMART_ROOT", "s3a://lake")
     zones = Zones.from_env()
     assert zones.landing("awards") == "s3a://lake/landing/awards" and zones.fmt == "parquet"
+
+
+@pytest.mark.parametrize("replace", [
+    lambda df, path: writers.replace_table(df, path),
+    lambda df, path: writers.replace_keyed_table(df, path, ["id", "k"]),
+    lambda df, path: writers.write_partitioned(df, path, ["k"]),
+])
+def test_a_failed_replacement_leaves_the_table(spark, tmp_path, replace):
+    path = str(tmp_path / "t")
+    old, new = spark.range(50).withColumn("k", F.col("id") % 2), spark.range(70).withColumn("k", F.col("id") % 3)
+    replace(old, path)
+    broken = new.withColumn("id", F.when(F.col("id") == 65, F.raise_error(F.lit("no")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception):
+        replace(broken, path)
+    assert rows(spark.read.parquet(path).select("id", "k")) == rows(old)
+    replace(new, path)
+    assert rows(spark.read.parquet(path).select("id", "k")) == rows(new)
+    replace(spark.read.parquet(path).select("id", "k").filter("id < 7"), path)  # a table may be made from itself
+    assert spark.read.parquet(path).count() == 7
+    assert os.listdir(tmp_path) == ["t"]
+
+
+@pytest.mark.parametrize("left", [[".replaced", ".written"], [".replaced"], ["", ".being-written"], ["", ".written"]])
+def test_a_swap_cut_short_is_put_right(spark, tmp_path, left):
+    """Whatever a dead job left beside the path: the table is whole, and the next replacement goes on from there."""
+    path = str(tmp_path / "t")
+    for suffix in left:
+        spark.range(5 if suffix == ".written" else 3).write.parquet(path + suffix)
+    writers.restore(spark, path)
+    assert spark.read.parquet(path).count() == (5 if left == [".replaced", ".written"] else 3)
+    assert writers.replace_table(spark.range(9), path) == 9
+    assert spark.read.parquet(path).count() == 9 and os.listdir(tmp_path) == ["t"]
