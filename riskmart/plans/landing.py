@@ -78,7 +78,7 @@ def land_awards(
 
 def land_csv(spark: SparkSession, zones: Zones, dataset: str, source: str) -> int:
     """A flat list (terminated, review list, lexicon) as Parquet; malformed records go to the reject table."""
-    raw = readers.read_csv(spark, source)
+    raw = readers.read_csv(spark, source, multi_line=True)
     rules = {"malformed record": F.col(schemas.CORRUPT).isNull()}
     good, bad = dedupe.split_rejects(raw, rules)
     writers.replace_table(bad, zones.rejects("landing", dataset))

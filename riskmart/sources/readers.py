@@ -11,7 +11,7 @@ from riskmart.sources import schemas
 from riskmart.zones import Zones
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with a header, every column as text, and malformed records whole in ``_corrupt_record``.
 
     A record with too few or too many fields is malformed. Without type inference the values are read

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskmart.functions import cleaning as c
 from riskmart.functions.text import words
 from riskmart.operators import columns, dedupe, features, lexicon, profile, split
+from riskmart.sources import inference
 from riskmart.workload.registry import query
 from riskmart.workload.standins import FUNDED_ORDERS_SQL, documents, funded_orders
 
@@ -459,3 +460,40 @@ _ZONE = {
 )
 def zone_validation(t):
     return profile.zone_validation({n: getattr(t, n) for n in _ZONE})
+
+
+_TEXT_ORDERS_SQL = """
+SELECT unnest(['order_key', 'customer_code', 'total', 'ordered_on', 'ordered_at', 'is_final', 'priority', 'note']) AS name,
+       unnest([CAST(o_orderkey AS VARCHAR), lpad(CAST(o_custkey AS VARCHAR), 9, '0'), CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR),
+               strftime(o_orderdate, '%Y-%m-%d'), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'),
+               CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'FALSE' END, o_orderpriority, '']) AS x FROM orders"""
+
+
+@query(
+    "inferred_types",
+    rf"""WITH v AS ({_TEXT_ORDERS_SQL}),
+         c AS (SELECT name, count(*) FILTER (x <> '') AS n_values, count(*) FILTER (lower(x) IN ('true', 'false')) AS n_boolean,
+             count(*) FILTER (regexp_matches(x, '^(0|-?[1-9][0-9]*)$') AND try_cast(x AS INTEGER) IS NOT NULL) AS n_int,
+             count(*) FILTER (regexp_matches(x, '^(0|-?[1-9][0-9]*)$') AND try_cast(x AS BIGINT) IS NOT NULL) AS n_bigint,
+             count(*) FILTER (regexp_matches(x, '^-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][+-]?[0-9]+)?$')) AS n_double,
+             count(*) FILTER (regexp_matches(x, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') AND try_cast(x AS DATE) IS NOT NULL) AS n_date,
+             count(*) FILTER (try_cast(x AS TIMESTAMP) IS NOT NULL) AS n_timestamp FROM v GROUP BY name)
+         SELECT name AS "column", n_values, CASE n_values WHEN 0 THEN 'void' WHEN n_boolean THEN 'boolean' WHEN n_int THEN 'int'
+             WHEN n_bigint THEN 'bigint' WHEN n_double THEN 'double' WHEN n_date THEN 'date' WHEN n_timestamp THEN 'timestamp'
+             ELSE 'string' END AS type FROM c""",
+)
+def inferred_types(t):
+    """Orders as a text table: the least type that holds every value of a column, counted year by year and merged."""
+    raw = t.orders.select(
+        F.col("o_orderkey").cast("string").alias("order_key"),
+        F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("customer_code"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("ordered_on"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("ordered_at"),
+        F.when(F.col("o_orderstatus") == "F", "true").otherwise("FALSE").alias("is_final"),
+        F.col("o_orderpriority").alias("priority"),
+        F.lit("").alias("note"),
+    )
+    early = F.col("ordered_on") < "1996"
+    parts = inference.type_counts(raw.filter(early)).unionByName(inference.type_counts(raw.filter(~early)))
+    return inference.decided(inference.merged(parts)).select("column", "n_values", "type")
