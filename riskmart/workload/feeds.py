@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskmart.functions import cleaning
 from riskmart.operators import intervals, pages
-from riskmart.plans import landing
+from riskmart.plans import incremental, landing
 from riskmart.sinks.scratch import run_folder
 from riskmart.sources import feed, readers, schemas
 from riskmart.workload.registry import query
@@ -141,6 +141,19 @@ def feed_date_range(t):
     return _landed(feed.parsed(daily_feed(t).filter(feed.between_dates(FEED_FROM, FEED_TO))))
 
 
+@query("feed_incremental", _FEED_LANDING_SQL)
+def feed_incremental(t):
+    """The feed downloaded in two goes, the second with pages of the first again: landed by a stream, each award once."""
+    root = f"{run_folder(t.spark)}/growing-{uuid.uuid4().hex}"
+    pages = page_bodies(t).select(F.col("year").cast("string").alias("feed"), (F.col("offset") * 25).alias("offset"), "body")
+    first = F.col("feed") <= F.lit(str(FEED_TO))
+    for part in (pages.filter(first), pages.filter(~first).union(pages.filter("offset % 100 = 0").withColumn("offset", F.col("offset") + 1))):
+        feed.write_feed(part, f"{root}/pages")
+        incremental.land_new_pages(t.spark, f"{root}/pages", f"{root}/landed", f"{root}/checkpoint", "feed")
+    found = incremental.landed(t.spark, f"{root}/landed")
+    return found.select(F.col("year").alias("feed"), "id", "agency", F.col("extra")["user"].alias("extra_user"))
+
+
 @query(
     "explode_terms",
     """WITH n AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
