@@ -497,3 +497,14 @@ def inferred_types(t):
     early = F.col("ordered_on") < "1996"
     parts = inference.type_counts(raw.filter(early)).unionByName(inference.type_counts(raw.filter(~early)))
     return inference.decided(inference.merged(parts)).select("column", "n_values", "type")
+
+
+@query(
+    "merged_profile",
+    """SELECT 'c_nationkey' AS column_name, count(*) AS n_rows, count(c_nationkey) AS n_filled, count(DISTINCT c_nationkey) AS n_distinct FROM customer
+       UNION ALL SELECT 'c_mktsegment', count(*), count(c_mktsegment), count(DISTINCT c_mktsegment) FROM customer""",
+)
+def merged_profile(t):
+    """Columns of few values, sketched in two parts and merged: small distinct counts are exact."""
+    some = t.customer.select("c_nationkey", "c_mktsegment", (F.col("c_custkey") % 2).alias("part"))
+    return profile.merged_profile(profile.profile_sketches(some, "part")).select("column_name", "n_rows", "n_filled", "n_distinct")
