@@ -18,6 +18,8 @@ from riskmart.sinks import layout
 _PLAIN = ("parquet", "json", "csv", "orc")
 # What a replacement keeps beside a table's folder for a while.
 _NEW, _NEW_DONE, _OLD = ".being-written", ".written", ".replaced"
+# What an update of some of a table's files keeps there: new files below ``rows``, the names of those they replace in ``gone``.
+_UPDATE, _UPDATE_DONE = ".update-being-written", ".update"
 
 
 def count_written(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -38,13 +40,49 @@ def _files(spark: SparkSession, path: str):
 
 
 def restore(spark: SparkSession, path: str) -> None:
-    """Finish or undo a swap that was cut short: the newest whole copy of the table is at its path again."""
+    """Finish or undo what was cut short: the newest whole copy of the table is at its path again."""
     files, make = _files(spark, path)
-    if files.exists(make(path)):
+    if not files.exists(make(path)):
+        for aside in (path + _NEW_DONE, path + _OLD):
+            if files.exists(make(aside)) and files.rename(make(aside), make(path)):
+                break
+    _finish_update(spark, path)
+
+
+def updated_files(spark: SparkSession, path: str, write, gone: Sequence[str]) -> None:
+    """Put the files that ``write(folder)`` makes in the place of the table's files ``gone`` (names below ``path``).
+
+    New files and the list of old ones are written aside, and one rename of their folder decides: before it the
+    table is as it was; after it the update is carried through by whoever comes next, however often it is cut short.
+    While files are moved, readers may meet old and new ones side by side, never too few.
+    """
+    files, make = _files(spark, path)
+    files.delete(make(path + _UPDATE), True)
+    write(f"{path}{_UPDATE}/rows")
+    spark.createDataFrame([(name,) for name in gone], "value string").coalesce(1).write.text(f"{path}{_UPDATE}/gone")
+    _rename(files, make(path + _UPDATE), make(path + _UPDATE_DONE))
+    _finish_update(spark, path)
+
+
+def _finish_update(spark: SparkSession, path: str) -> None:
+    files, make = _files(spark, path)
+    done = path + _UPDATE_DONE
+    if not files.exists(make(done)):
         return
-    for aside in (path + _NEW_DONE, path + _OLD):
-        if files.exists(make(aside)) and files.rename(make(aside), make(path)):
-            return
+    gone = [r["value"] for r in spark.read.text(f"{done}/gone").collect()]
+    root = files.makeQualified(make(f"{done}/rows")).toString()
+    listed, names = files.listFiles(make(f"{done}/rows"), True), []
+    while listed.hasNext():
+        names.append(listed.next().getPath().toString()[len(root) + 1:])
+    for name in names:
+        target = make(f"{path}/{name}")
+        if not target.getName().startswith(("_", ".")):
+            files.mkdirs(target.getParent())
+            _rename(files, make(f"{done}/rows/{name}"), target)
+    for name in gone:
+        files.delete(make(f"{path}/{name}"), False)
+    files.delete(make(done), True)
+    spark.catalog.refreshByPath(path)
 
 
 def swapped_in(spark: SparkSession, path: str, write) -> None:
@@ -114,8 +152,8 @@ def clear_json_partitions(spark: SparkSession, path: str, by: str, values: Itera
         spark.range(0).select("id").write.mode("overwrite").json(f"{path}/{by}={value}")
 
 
-def replace_keyed_table(df: DataFrame, path: str, keys: str | Sequence[str], partition: str | None = None) -> int:
-    """Replace a Parquet table laid out for lookups by ``keys``, those of them that exist.
+def keyed_writer(df: DataFrame, keys: str | Sequence[str], partition: str | None = None):
+    """A Parquet writer of ``df`` laid out for lookups by ``keys``, those of them that exist.
 
     One key: rows are balanced over files by size, so a key value (or null) with a third of the rows is
     written by as many tasks as it needs, and inside a file they are sorted by the key. Several keys (and no
@@ -134,9 +172,12 @@ def replace_keyed_table(df: DataFrame, path: str, keys: str | Sequence[str], par
     writer = laid_out.write
     for key in tops:
         writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
-    if partition:
-        writer = writer.partitionBy(partition)
-    swapped_in(df.sparkSession, path, writer.parquet)
+    return writer.partitionBy(partition) if partition else writer
+
+
+def replace_keyed_table(df: DataFrame, path: str, keys: str | Sequence[str], partition: str | None = None) -> int:
+    """Replace a Parquet table by the rows of ``df``, laid out for lookups by ``keys`` (:func:`keyed_writer`)."""
+    swapped_in(df.sparkSession, path, keyed_writer(df, keys, partition).parquet)
     return count_written(df, path)
 
 

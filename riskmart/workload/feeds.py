@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskmart.functions import cleaning
 from riskmart.operators import intervals, pages
 from riskmart.plans import incremental, landing
+from riskmart.sinks import upsert
 from riskmart.sinks.scratch import run_folder
 from riskmart.sources import feed, readers, schemas
 from riskmart.workload.registry import query
@@ -154,6 +155,28 @@ def feed_incremental(t):
     return found.select(F.col("year").alias("feed"), "id", "agency", F.col("extra")["user"].alias("extra_user"))
 
 
+@query(
+    "keyed_update",
+    """WITH late AS (SELECT * FROM orders WHERE o_orderkey >= (SELECT 0.9 * max(o_orderkey) FROM orders))
+       SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM late)
+       UNION ALL SELECT o_orderkey, o_custkey, 'checked', o_totalprice * 2 FROM late
+       UNION ALL SELECT -1 - o_orderkey, o_custkey, 'added', 0.0 FROM late WHERE o_orderpriority = '1-URGENT'""",
+)
+def keyed_update(t):
+    """A table of orders in which the latest tenth is replaced by key, with new orders for the urgent ones."""
+    path = f"{run_folder(t.spark)}/updated-{uuid.uuid4().hex}"
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    orders.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    late = orders.filter(F.col("o_orderkey") >= 0.9 * (last or 0))
+    checked = late.withColumns({"o_orderpriority": F.lit("checked"), "o_totalprice": F.col("o_totalprice") * 2})
+    added = late.filter("o_orderpriority = '1-URGENT'").withColumns(
+        {"o_orderkey": -1 - F.col("o_orderkey"), "o_orderpriority": F.lit("added"), "o_totalprice": F.lit(0.0)}
+    )
+    upsert.replace_by_key(checked.unionByName(added), path, "o_orderkey")
+    return t.spark.read.parquet(path)
+
+
 @query(
     "explode_terms",
     """WITH n AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
