@@ -3,13 +3,14 @@
 Pass 1 reads the texts once and counts their 64-bit hashes; the map side already adds up equal
 hashes, so a text that fills a third of the table sends one number per task. Hashes counted
 twice or more set their bits in a blocked Bloom filter: a hash picks one block of 32,768 bits and
-sets ``HASHES`` bits in it. Pass 2 probes every row against the filter. A row that misses has no
+sets ``HASHES`` bits in it. Their number is known by then and gives the filter its size: ``HASH_BITS`` bits
+a hash, with which about 1 in 400 rows without a copy is taken for one that has some. Pass 2 probes every row against the filter. A row that misses has no
 equal and passes straight through, with no shuffle of it; a row that hits is shuffled and settled
 exactly by its SHA-256, so a false hit costs time and never a result.
 
-The filter has ``filter_bits`` bits at most (16 MB by default) whatever the input: that is the size
-of the only broadcast that holds data of the corpus, besides at most ``HOT_GROUPS`` group rows.
-With more repeated hashes than the bits can tell apart, more rows take the shuffled way; results
+The filter has ``filter_bits`` bits at most (128 MB by default, enough for 67 million repeated texts) whatever
+the input: that is the size of the only broadcast that holds data of the corpus, besides at most ``HOT_GROUPS``
+group rows. With more repeated hashes than the bits can tell apart, more rows take the shuffled way; results
 stay the same. For 100 TB raise ``filter_bits`` (8e9 bits are 1 GB).
 
 Groups whose size ranks among the largest ``HOT_GROUPS`` are settled by broadcasting their one row,
@@ -32,7 +33,9 @@ from riskmart.llm.common import hide, row_hash, without, written
 
 BLOCK_BITS = 32_768  # what bitmap_construct_agg holds in one value
 HASHES = 4
+HASH_BITS = 16
 FILTER_BITS = 1 << 27
+MOST_BITS = 1 << 30
 HOT_GROUPS = 4_096
 OUTPUT = ("keep_id", "group_size", "kept", "text_sha256")
 
@@ -59,10 +62,17 @@ def bloom_filter(hashes: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame
     )
 
 
-def repeated_filter(digests: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """Pass 1: the filter over the hashes that occur at least twice."""
+def sized_filter(n_hashes: int, most: int = MOST_BITS) -> int:
+    """Bits of a filter over so many hashes: whole blocks, ``HASH_BITS`` a hash, ``most`` at most."""
+    return max(1, min(-(-n_hashes * HASH_BITS // BLOCK_BITS), most // BLOCK_BITS)) * BLOCK_BITS
+
+
+def repeated_filter(digests: DataFrame, filter_bits: int = MOST_BITS) -> tuple[DataFrame, int]:
+    """Pass 1: the filter over the hashes that occur at least twice, and its size in bits."""
     counted = digests.groupBy(F.xxhash64("text_sha256").alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    return bloom_filter(counted.filter("n > 1").select("h"), filter_bits)
+    repeated = written(counted.filter("n > 1").select("h"), "repeated")
+    bits = sized_filter(repeated.count(), filter_bits)
+    return written(bloom_filter(repeated, bits), "bloom"), bits
 
 
 def _bit(position: Column) -> Column:
@@ -95,25 +105,25 @@ def _groups(maybe: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = MOST_BITS) -> DataFrame:
     """All rows and columns, with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``."""
     base, (id_at, text_at), restored = hide(without(docs, OUTPUT), id_col, text_col)
-    _, bloom, groups = _passes(base, id_at, text_at, filter_bits)
-    settled = _settle(base.withColumn("text_sha256", digest(text_at)), groups, bloom, id_at, filter_bits)
+    _, bloom, bits, groups = _passes(base, id_at, text_at, filter_bits)
+    settled = _settle(base.withColumn("text_sha256", digest(text_at)), groups, bloom, id_at, bits)
     return settled.select(*restored, *OUTPUT)
 
 
-def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = MOST_BITS) -> DataFrame:
     """The same decisions for (id, digest) only: texts are read once, and no text is shuffled."""
-    digests, bloom, groups = _passes(docs, id_col, text_col, filter_bits)
-    return _settle(digests, groups, bloom, id_col, filter_bits)
+    digests, bloom, bits, groups = _passes(docs, id_col, text_col, filter_bits)
+    return _settle(digests, groups, bloom, id_col, bits)
 
 
-def _passes(docs: DataFrame, id_col: str, text_col: str, filter_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _passes(docs: DataFrame, id_col: str, text_col: str, filter_bits: int) -> tuple[DataFrame, DataFrame, int, DataFrame]:
     digests = written(docs.select(F.col(id_col), digest(text_col).alias("text_sha256")), "digests")
-    bloom = written(repeated_filter(digests, filter_bits), "bloom")
-    groups = written(_groups(may_repeat(digests, bloom, filter_bits).filter("maybe_"), id_col), "groups")
-    return digests, bloom, groups
+    bloom, bits = repeated_filter(digests, filter_bits)
+    groups = written(_groups(may_repeat(digests, bloom, bits).filter("maybe_"), id_col), "groups")
+    return digests, bloom, bits, groups
 
 
 def _settle(rows: DataFrame, groups: DataFrame, bloom: DataFrame, id_col: str, filter_bits: int) -> DataFrame:

@@ -52,12 +52,25 @@ def test_exact_dedup_full_filter_changes_nothing(spark):
 
 def test_unique_rows_are_not_shuffled(spark):
     docs = spark.range(100).selectExpr("id as doc_id", "concat('t', id) as text")
-    digests, bloom, _ = exact_dedup._passes(docs, "doc_id", "text", exact_dedup.FILTER_BITS)
-    probed = exact_dedup.may_repeat(digests, bloom)
+    digests, bloom, bits, _ = exact_dedup._passes(docs, "doc_id", "text", exact_dedup.MOST_BITS)
+    assert bits == exact_dedup.BLOCK_BITS
+    probed = exact_dedup.may_repeat(digests, bloom, bits)
     assert probed.filter("maybe_").count() == 0
     assert "hashpartitioning" not in probed.filter("not maybe_")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_the_filter_grows_with_the_repeated_texts(spark):
+    """The share of rows taken for repeated ones stays the same, whatever their number; beyond the bound it grows."""
+    repeated = spark.range(60_000).selectExpr("xxhash64(id) as h")
+    bits = exact_dedup.sized_filter(60_000)
+    others = spark.range(400_000).selectExpr("sha2(concat('x', id), 256) as text_sha256")
+    hit = exact_dedup.may_repeat(others, exact_dedup.bloom_filter(repeated, bits), bits).filter("maybe_").count()
+    assert 0 < hit < 400_000 * 0.004
+    assert exact_dedup.sized_filter(0) == exact_dedup.BLOCK_BITS
+    assert exact_dedup.sized_filter(10**12) == exact_dedup.MOST_BITS
+    assert exact_dedup.sized_filter(10**6) >= 16 * 10**6 > exact_dedup.sized_filter(10**6) - exact_dedup.BLOCK_BITS
+
+
 def test_exact_dedup_of_nothing(spark):
     assert exact_dedup.exact_dedup(no_documents(spark)).count() == 0
 
@@ -102,6 +115,10 @@ def test_mixing_of_odd_rows(spark):
     for r in rows:
         assert r["source_size"] == sizes[r["source"]]
     assert sorted(map(repr, mixing.mix(docs.repartition(5)).collect())) == sorted(map(repr, rows))
+    narrow = ["doc_id", "size", "source_size", "target", "taken", "copies"]
+    decided = mixing.decide(docs)
+    assert decided.columns == narrow
+    assert sorted(map(repr, decided.collect())) == sorted(map(repr, mixed.select(*narrow).collect()))
     emitted = mixing.emit(mixed)
     assert emitted.count() == sum(r["copies"] for r in rows)
     assert "copies" not in emitted.columns
