@@ -99,8 +99,29 @@ def mix(
 ) -> DataFrame:
     """All rows and columns with ``size``, ``source_size``, ``target``, ``taken`` and ``copies``."""
     base, (id_at, source_at, text_at), restored = hide(without(docs, (*OUTPUT, "copies")), id_col, source_col, text_col)
+    rows = placed(base, id_at, source_at, words(text_at)).withColumn("tie_", row_hash(base, [id_at]))
+    return _copies(rows, id_at, restored, seed, weights, max_repeat)
+
+
+def decide(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    text_col: str = "text",
+    seed: str = "mix",
+    weights: tuple[int, ...] = WEIGHTS,
+    max_repeat: int = MAX_REPEAT,
+) -> DataFrame:
+    """The same mix for ids only: texts are read once, and no text is shuffled."""
+    base, (id_at, source_at, text_at), _ = hide(without(docs, (*OUTPUT, "copies")), id_col, source_col, text_col)
     rows = placed(base, id_at, source_at, words(text_at))
-    # One pass over the texts gives the sizes of all buckets; everything above is made from these.
+    narrow = written(rows.select(id_at, "size", *_KEYS, row_hash(base, [id_at]).alias("tie_")), "sizes")
+    return _copies(narrow, id_at, [F.col(id_at).alias(id_col)], seed, weights, max_repeat)
+
+
+def _copies(rows: DataFrame, id_at: str, restored: list[Column], seed: str, weights: tuple[int, ...], max_repeat: int) -> DataFrame:
+    """Copies of placed rows, told apart by id and ``tie_``."""
+    # One pass over the rows gives the sizes of all buckets; everything above is made from these.
     buckets = written(rows.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("n_"), F.sum("size").alias("words_")), "buckets")
     classes = buckets.groupBy("key_", "class_").agg(F.sum("n_").alias("n_"), F.sum("words_").alias("words_"))
     rates = (
@@ -122,7 +143,7 @@ def mix(
         .join(starts, ["key_", "class_"])
         .select(*_KEYS, (F.col("start_") + F.col("within_")).alias("first_"), "source_size", "target", "each_", "offset_")
     )
-    order = Window.partitionBy(*_KEYS).orderBy("size", id_at, row_hash(base, [id_at]))
+    order = Window.partitionBy(*_KEYS).orderBy("size", id_at, "tie_")
     upto = F.expr("(cast(first_ + nth_ as decimal(20,0)) * cast(each_ as decimal(14,0)) + offset_) div %d" % UNIT)
     upto_before = F.expr("(cast(first_ + nth_ - 1 as decimal(20,0)) * cast(each_ as decimal(14,0)) + offset_) div %d" % UNIT)
     return (
@@ -146,7 +167,7 @@ def emit(mixed: DataFrame) -> DataFrame:
 
 def op6_mix_sources(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return decide(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix_sql(docs: str = "documents", seed: str = "mix") -> str:

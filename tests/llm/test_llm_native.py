@@ -140,3 +140,4 @@ def test_size_classes_grow_with_the_size(spark):
 
 def test_mixing_of_nothing(spark):
     assert mixing.mix(no_documents(spark)).count() == 0
+    assert mixing.decide(no_documents(spark)).count() == 0
