@@ -10,14 +10,16 @@ from pyspark.sql import SparkSession
 
 # Planner settings the operators rely on: adaptive execution splits the partitions that a hot
 # key makes too big (even where that costs a later stage a shuffle), and a side is broadcast
-# without a count of its rows only below the threshold.
+# without a count of its rows only below the threshold: the larger one holds for sizes measured while the query
+# runs, the smaller one for guesses from compressed files, which rows in memory exceed many times.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # A shuffled join whose every build partition turned out small is hashed instead of sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",

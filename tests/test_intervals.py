@@ -144,3 +144,28 @@ def test_fact_rows_are_kept(spark):
     got = intervals.interval_lookup(fact, terms, "state", "day", {"rep": "representant"})
     assert got.columns == ["i", "state", "day", "representant"]
     assert got.count() == 50 and rows(got.select("representant").distinct()) == [("C",)]
+
+
+def test_microseconds_across_blocks(spark):
+    """Nested terms from a microsecond to weeks, over many blocks, and facts at and around their bounds."""
+    rng = random.Random(4)
+    origin, tick = datetime(2024, 1, 1), timedelta(microseconds=1)
+    terms = []
+    for _ in range(250):
+        start = origin + timedelta(seconds=rng.randrange(0, 2_000_000), microseconds=rng.randrange(0, 3))
+        length = rng.choice([timedelta(0), tick, timedelta(hours=1), timedelta(hours=5), timedelta(days=2), timedelta(days=15)])
+        terms.append((rng.choice(["rep", "sen"]), rng.choice(["HOT", "HOT", "A"]), start, start + length, rng.choice(["D", "R", "", None])))
+    moments = [t[n] + step * tick for t in terms[:60] for n in (2, 3) for step in (-1, 0, 1)]
+    facts = [(i, rng.choice(["HOT", "A"]), when) for i, when in enumerate(moments)]
+    assert lookup(spark, facts, terms, granularity="microsecond") == brute_force(facts, terms)
+
+
+def test_short_terms_are_shuffled_twice_at_most(spark):
+    """Whatever the number of cells that tile them; equal ones once."""
+    day = timedelta(days=1)
+    for granularity, unit in (("day", day), ("microsecond", day / 2048)):
+        bounds = [(datetime(2020, 1, 1) + i * unit, datetime(2020, 1, 1) + (i + 50 * (i % 3)) * unit) for i in range(0, 900, 3)]
+        terms = spark.createDataFrame([("rep", "MA", s, e, p) for s, e in bounds for p in "AB"], TERMS)
+        fact = spark.createDataFrame([("MA", 0, 0)], "_state string, _block bigint, _tick bigint")
+        found = intervals._pieces(terms, {"rep": "r"}, granularity, fact, None).collect()
+        assert len(found) <= 2 * len(bounds) and {r["_term"]["party"] for r in found} == {"B"}
