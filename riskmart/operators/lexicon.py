@@ -14,6 +14,9 @@ from riskmart.operators.dedupe import key_set
 from riskmart.operators.joins import BROADCAST_ROWS, fits, lookup_join, measure
 from riskmart.sinks.scratch import written
 
+# A list past the broadcast bound is first met as a filter of LIST_BITS bits an entry, in blocks of BLOCK_BITS, MOST_BITS in all.
+LIST_BITS, BLOCK_BITS, MOST_BITS = 32, 32_768, 1 << 27
+
 # The six text features of the wide table.
 FEATURES = (
     "flagged_word_count_abstract", "flagged_word_unique_abstract", "flagged_word_ratio_abstract",
@@ -103,9 +106,10 @@ def lexicon_hits(
     """Per key and text column, how often each lexicon entry occurs; texts without a hit have no row.
 
     The form for a word list of any size. A list below the broadcast bound filters the words where the
-    text is read. For a longer one the words of a text are counted first, so that a word goes on once per
+    text is read. A longer one does so as a filter of its hashes, of bounded size: the few words that pass without being
+    listed are left to the exact join. What passes is counted, so that a word goes on once per
     text however often the text repeats it, and the counts, written once, meet the list in the salted
-    join. With ``phrases`` runs of words up to the longest entry count too.
+    join. With ``phrases`` runs of words up to the longest entry count too. Rows of equal ``key`` are counted together.
     """
     no_words = F.array().cast("array<string>")
     wanted = normalize_lexicon(lexicon, word).withColumnRenamed(word, "word").filter("word <> ''")
@@ -129,10 +133,30 @@ def lexicon_hits(
     def count(found: DataFrame) -> DataFrame:
         return found.groupBy(key, "part", "word").agg(F.count(F.lit(1)).alias("n"))
 
-    if fits(measure(wanted), broadcast_rows):
+    size = measure(wanted)
+    if fits(size, broadcast_rows):
         return count(tokens.join(F.broadcast(wanted), "word", "left_semi"))
     # Past the broadcast bound the counts are read twice: written once, so that no text is.
-    return lookup_join(written(count(tokens), "word-counts"), wanted, ["word"], "left_semi", broadcast_rows)
+    return lookup_join(written(count(_maybe_listed(tokens, wanted, size[0])), "word-counts"), wanted, ["word"], "left_semi", broadcast_rows)
+
+
+def _maybe_listed(tokens: DataFrame, wanted: DataFrame, n_wanted: int) -> DataFrame:
+    """Tokens whose hash has its bit set in a filter over the list: all that are listed, and few others. No shuffle of them."""
+    blocks = max(1, min(-(-n_wanted * LIST_BITS // BLOCK_BITS), MOST_BITS // BLOCK_BITS))
+    block = F.pmod(F.xxhash64("word"), F.lit(blocks))
+    at = F.pmod(F.xxhash64("word", F.lit(1)), F.lit(BLOCK_BITS)).cast("int")
+    bits = wanted.groupBy(block.alias("_block")).agg(F.bitmap_construct_agg(at).alias("_bits"))
+    # A bit array per block, in words of 32 bits that a lookup can index.
+    words = F.transform(
+        F.sequence(F.lit(0), F.lit(BLOCK_BITS // 32 - 1)),
+        lambda i: F.conv(F.hex(F.substring(F.col("_bits"), i * 4 + 1, F.lit(4))), 16, 10).cast("bigint"),
+    )
+    listed = written(bits.select("_block", words.alias("_words")), "list-bits")
+    probed = tokens.withColumns({"_block": block, "_at": at}).join(F.broadcast(listed), "_block")
+    byte = F.floor(F.col("_at") / 8)  # bytes go from high to low within a word, bits of a byte from low to high
+    shift = ((3 - byte % 4) * 8 + F.col("_at") % 8).cast("int")
+    word = F.get("_words", F.floor(F.col("_at") / 32).cast("int"))
+    return probed.filter(F.call_function("shiftright", word, shift).bitwiseAND(F.lit(1)) == 1).select(*tokens.columns)
 
 
 def lexicon_features_by_join(

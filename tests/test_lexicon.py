@@ -114,3 +114,13 @@ def test_runs_of_long_texts_take_linear_time(spark):
         return min(best)
 
     assert seconds(80_000) < 8 * max(seconds(20_000), 0.05)
+
+
+def test_long_lists_filter_words_where_texts_are_read(spark):
+    """No listed word is lost, and few others go on."""
+    listed = spark.range(0, 5000).selectExpr("concat('w', id * 7) AS word")
+    tokens = spark.range(0, 50_000).selectExpr("id AS key", "concat('w', id) AS word")
+    passed = lexicon._maybe_listed(tokens, listed, 5000)
+    assert passed.join(listed, "word", "left_semi").count() == 5000
+    assert passed.count() < 5000 + 0.06 * 45_000
+    assert lexicon._maybe_listed(tokens, listed.filter("false"), 0).count() == 0
