@@ -94,22 +94,12 @@ def lexicon_features(
     return done.drop("_count_a", "_unique_a", "_total_a", "_count_t")
 
 
-def lexicon_hits(
-    df: DataFrame,
-    key: str,
-    texts: Sequence[str],
-    lexicon: DataFrame,
-    word: str = "flagged_word",
-    broadcast_rows: int = BROADCAST_ROWS,
-    phrases: bool = False,
-) -> DataFrame:
-    """Per key and text column, how often each lexicon entry occurs; texts without a hit have no row.
+def _tokens(
+    df: DataFrame, key: str, texts: Sequence[str], lexicon: DataFrame, word: str, phrases: bool, firsts: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The list's entries (word), and the words of each text column (key, part, word, first).
 
-    The form for a word list of any size. A list below the broadcast bound filters the words where the
-    text is read. A longer one does so as a filter of its hashes, of bounded size: the few words that pass without being
-    listed are left to the exact join. What passes is counted, so that a word goes on once per
-    text however often the text repeats it, and the counts, written once, meet the list in the salted
-    join. With ``phrases`` runs of words up to the longest entry count too. Rows of equal ``key`` are counted together.
+    With ``firsts`` the distinct words of a text come once more, marked ``first``.
     """
     no_words = F.array().cast("array<string>")
     wanted = normalize_lexicon(lexicon, word).withColumnRenamed(word, "word").filter("word <> ''")
@@ -125,10 +115,35 @@ def lexicon_hits(
 
     def occurrences(name: str, at: str) -> Column:
         runs = [F.col(at), *[text.word_runs(F.col(at), n) for n in range(2, longest + 1)]]
-        return F.transform(F.concat(*runs), lambda w: F.struct(F.lit(name).alias("part"), w.alias("word")))
+        every = F.concat(*runs)
+
+        def rows(found: Column, first: bool) -> Column:
+            return F.transform(found, lambda w: F.struct(F.lit(name).alias("part"), w.alias("word"), F.lit(first).alias("first")))
+
+        return F.concat(rows(every, False), rows(F.array_distinct(every), True)) if firsts else rows(every, False)
 
     occurring = F.concat(*[occurrences(n, at) for n, at in names.items()])
-    tokens = tokenised.select(F.col(key), F.explode(occurring).alias("o")).select(key, "o.part", "o.word")
+    return wanted, tokenised.select(F.col(key), F.explode(occurring).alias("o")).select(key, "o.*")
+
+
+def lexicon_hits(
+    df: DataFrame,
+    key: str,
+    texts: Sequence[str],
+    lexicon: DataFrame,
+    word: str = "flagged_word",
+    broadcast_rows: int = BROADCAST_ROWS,
+    phrases: bool = False,
+) -> DataFrame:
+    """Per key and text column, how often each lexicon entry occurs; texts without a hit have no row.
+
+    The form for a word list of any size. A list below the broadcast bound filters the words where the
+    text is read. A longer one does so as a filter of its hashes, of bounded size: the few words that pass without being
+    listed are left to the exact join. What passes is counted, so that a word goes on once per
+    text however often the text repeats it, and the counts, written once, meet the list in the salted
+    join. With ``phrases`` runs of words up to the longest entry count too. Rows of equal ``key`` are counted together.
+    """
+    wanted, tokens = _tokens(df, key, texts, lexicon, word, phrases)
 
     def count(found: DataFrame) -> DataFrame:
         return found.groupBy(key, "part", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -171,25 +186,33 @@ def lexicon_features_by_join(
     """The same six features for a word list too long to inline.
 
     Features depend on the texts alone, so rows are told apart by a digest of their texts: no key
-    has to be unique, and equal texts are counted once. Rows without text have no digest and no hit.
+    has to be unique. Equal texts are counted together and their hits divided by the number of their rows, so that only
+    digests and words are shuffled, never texts. Rows without text have no digest and no hit.
     """
     present = [c for c in (abstract, title) if c in df.columns]
     if not present:
         return lexicon_features(df, [], abstract, title)
     digest = F.md5(F.to_json(F.struct(*present)))
     marked = df.withColumn("_text", F.when(F.greatest(*[F.col(c).isNotNull() for c in present], F.lit(False)), digest))
-    texts = marked.select("_text", *present).filter("_text IS NOT NULL").dropDuplicates(["_text"])
     in_abstract, in_title = F.col("part") == abstract, F.col("part") == title
-    per_text = written(
-        lexicon_hits(texts, "_text", present, lexicon, word, broadcast_rows, phrases)
-        .groupBy("_text")
-        .agg(
+    texts = marked.select("_text", *present).filter("_text IS NOT NULL")
+    copies = texts.groupBy("_text").agg(F.count(F.lit(1)).alias("_copies"))
+    wanted, tokens = _tokens(texts, "_text", present, lexicon, word, phrases, firsts=True)
+    if fits(measure(wanted), broadcast_rows):
+        # Distinct words are marked per row, so that nothing is counted by text and word: a task holds a row per text.
+        counts = {"_count_a": in_abstract & ~F.col("first"), "_unique_a": in_abstract & F.col("first"), "_count_t": in_title & ~F.col("first")}
+        found = tokens.join(F.broadcast(wanted), "word", "left_semi")
+        hits = found.groupBy("_text").agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
+    else:
+        counts = ("_count_a", "_count_t")
+        found = lexicon_hits(texts, "_text", present, lexicon, word, broadcast_rows, phrases)
+        hits = found.groupBy("_text").agg(
             F.sum(F.when(in_abstract, F.col("n"))).alias("_count_a"),
             F.count_if(in_abstract).alias("_unique_a"),
             F.sum(F.when(in_title, F.col("n"))).alias("_count_t"),
-        ),
-        "text-hits",
-    )
+        )
+    each = {c: F.call_function("div", F.col(c), F.col("_copies")) for c in counts}
+    per_text = written(hits.join(copies, "_text").withColumns(each).drop("_copies"), "text-hits")
     # Counted before the join: only the digest is looked up.
     total = text.word_count(F.col(abstract)) if abstract in df.columns else F.lit(0)
     joined = lookup_join(marked.withColumn("_total_a", total), per_text, ["_text"], "left", broadcast_rows)

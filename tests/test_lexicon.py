@@ -124,3 +124,16 @@ def test_long_lists_filter_words_where_texts_are_read(spark):
     assert passed.join(listed, "word", "left_semi").count() == 5000
     assert passed.count() < 5000 + 0.06 * 45_000
     assert lexicon._maybe_listed(tokens, listed.filter("false"), 0).count() == 0
+
+
+def test_join_form_shuffles_no_text(spark, monkeypatch):
+    """Equal texts are told by digest and divided out again: no row of the shuffles holds a text."""
+    plans = []
+    monkeypatch.setattr(
+        lexicon, "written", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    )
+    table = spark.createDataFrame([(w,) for w in LEX], "flagged_word string")
+    three = frame(spark).union(frame(spark)).union(frame(spark))
+    got = lexicon.lexicon_features_by_join(three, table)
+    assert rows(got, "i", *lexicon.FEATURES) == sorted(expected(False) * 3, key=repr)
+    assert plans and not any("first(abstract" in p or "first(title" in p for p in plans)
