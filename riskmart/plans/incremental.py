@@ -13,6 +13,9 @@ A file is read once, under its name: a page that was unreadable and has been men
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +57,18 @@ def new_awards(pages: DataFrame, horizon: str = HORIZON) -> DataFrame:
     return awards.withColumn("_told", told).dropDuplicatesWithinWatermark(["year", "_told"]).drop("_told", "_arrived")
 
 
+@contextmanager
+def listed_by_driver(spark: SparkSession, n_files: int) -> Iterator[None]:
+    """Up to so many files are looked up by the driver, which has their names: a job for it sends back 3 kB for each file."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n_files))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def land_new_pages(
     spark: SparkSession, source: str, target: str, checkpoint: str, feed: str = "year", horizon: str = HORIZON,
     files_per_batch: int = FILES_PER_BATCH,
@@ -64,16 +79,17 @@ def land_new_pages(
     """
     before = landed(spark, target)
     rows = before.count() if before is not None else 0
-    stream = (
-        new_awards(page_stream(spark, source, feed, files_per_batch), horizon).writeStream.format("parquet")
-        .partitionBy("year")
-        .option("checkpointLocation", checkpoint)
-        .option("path", target)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    stream.awaitTermination()
+    with listed_by_driver(spark, files_per_batch):
+        stream = (
+            new_awards(page_stream(spark, source, feed, files_per_batch), horizon).writeStream.format("parquet")
+            .partitionBy("year")
+            .option("checkpointLocation", checkpoint)
+            .option("path", target)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        stream.awaitTermination()
     after = landed(spark, target)
     return (after.count() if after is not None else 0) - rows
 

@@ -22,6 +22,9 @@ DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # A shuffled join whose every build partition turned out small is hashed instead of sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
+    # Tasks of the job that looks up many files by name (a stream batch has thousands): by default a task for each, and
+    # every task sends the driver some 3 kB of its own beside the file's status.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.session.timeZone": "UTC",
 }
 

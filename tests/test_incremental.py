@@ -76,3 +76,21 @@ def test_nothing_landed_yet(spark, tmp_path):
     assert incremental.landed(spark, str(tmp_path / "none")) is None
     (tmp_path / "pages").mkdir()
     assert incremental.land_new_pages(spark, str(tmp_path / "pages"), str(tmp_path / "t"), str(tmp_path / "c")) == 0
+
+
+def test_batches_are_listed_without_a_job(spark, tmp_path):
+    """A batch of more files than Spark's own threshold: the stream's session has the batch size for it, others keep theirs."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    before, seen = spark.conf.get(name), []
+    real = incremental.new_awards
+    try:
+        incremental.new_awards = lambda pages, horizon: seen.append(spark.conf.get(name)) or real(pages, horizon)
+        folder = tmp_path / "pages" / "year=2023"
+        folder.mkdir(parents=True)
+        for i in range(40):
+            (folder / f"{i}.json").write_text('{"response": {"award": [{"id": "%d"}]}}' % i)
+        where = [str(tmp_path / n) for n in ("pages", "landed", "checkpoint")]
+        assert incremental.land_new_pages(spark, *where, files_per_batch=50) == 40
+    finally:
+        incremental.new_awards = real
+    assert seen == ["50"] and spark.conf.get(name) == before
