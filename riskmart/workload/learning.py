@@ -23,6 +23,8 @@ from riskmart.workload.registry import query
 from riskmart.workload.standins import WORDS, titled_documents
 
 TARGET = "is_terminated"
+# Fitting runs hundreds of short jobs over the same narrow rows: their number of tasks follows the rows.
+ROWS_PER_TASK = 20_000
 
 def labelled(t):
     """Every labelled document with its text features, its label and its split."""
@@ -33,6 +35,10 @@ def labelled(t):
     return split.hash_split(features.complete_cases(numeric), "doc_id")
 
 
+def tasks_for(n_rows: int, most: int) -> int:
+    return max(1, min(most, -(-n_rows // ROWS_PER_TASK)))
+
+
 def _fit_and_score(t, kind):
     """Fit on the training part and score the rest.
 
@@ -43,7 +49,8 @@ def _fit_and_score(t, kind):
     names = features.feature_columns(data, TARGET, drop=("doc_id",))
     kept = data.persist(StorageLevel.MEMORY_AND_DISK)
     train = features.class_weights(kept.filter("split = 'train'"), TARGET)
-    partitions = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = tasks_for(kept.count(), most)
     laid_out = models.stable_layout(train, "doc_id", partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = models.fit(ModelSpec(kind), laid_out, TARGET, names)

@@ -129,3 +129,9 @@ def test_thinning_keeps_the_area(spark):
         assert areas[0] == pytest.approx(areas[1], abs=1e-12)
     with pytest.raises(ValueError):
         metrics.roc_points(df, ["g"], thin="often")
+
+
+def test_fits_use_no_more_tasks_than_rows_need():
+    from riskmart.workload import learning
+
+    assert [learning.tasks_for(n, 200) for n in (0, 1, 20_000, 20_001, 1_200_000, 10**9)] == [1, 1, 1, 2, 60, 200]
