@@ -18,7 +18,8 @@ half must be read for a recall of 0.95); on clustered vectors pass a far smaller
 
 Lists are split by a hash into parts of about ``PART`` vectors, and the queries of a list into parts of
 about ``QUERY_PART``; a task holds one part of each. A list with a third of all vectors is so many parts.
-Only the centres and the list sizes (at most ``MAX_LISTS`` rows) and the sample reach the driver.
+Only the centres and the list sizes (at most ``MAX_LISTS`` rows) and the sample reach the driver. Scores of rows
+against all centres, on the driver and in tasks, are made and used ``SCORES`` at a time.
 
 Defined cases: a vector that is null, zero, of another length than most, or holds null or non-finite
 components takes no part, nor does one without id; of rows that repeat an id the least vector counts; ties
@@ -49,6 +50,8 @@ SEEDS = 64
 CHUNK = 1_024
 PART = 4_096
 QUERY_PART = 1_024
+#: Values of a matrix of scores, 16 MB.
+SCORES = 1 << 21
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -75,22 +78,42 @@ def rotation(dims: int, seed: int = 7) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def _sampled(column: pa.ChunkedArray, spread: np.ndarray) -> np.ndarray:
+    """The collected vectors, scaled and rotated."""
+    found, start = np.empty((len(column), len(spread))), 0
+    for chunk in column.chunks:
+        if len(chunk):
+            found[start:start + len(chunk)] = _unit(_matrix(chunk)) @ spread
+            start += len(chunk)
+    return found
+
+
 def fit_centres(sample: np.ndarray, lists: int, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
     """k-means on unit vectors; an empty centre takes the sample's farthest point."""
     rng = np.random.default_rng(seed)
     centres = sample[rng.choice(len(sample), lists, replace=False)]
     for _ in range(rounds):
-        near = sample @ centres.T - (centres * centres).sum(axis=1) / 2
-        label = near.argmax(axis=1)
+        label, best = np.empty(len(sample), np.int64), np.empty(len(sample))
+        half = (centres * centres).sum(axis=1) / 2
+        for at in _pieces(len(sample), lists):
+            near = sample[at] @ centres.T - half
+            label[at], best[at] = near.argmax(axis=1), near.max(axis=1)
         sums, counts = np.zeros_like(centres), np.bincount(label, minlength=lists)
         np.add.at(sums, label, sample)
         centres = sums / np.maximum(counts, 1)[:, None]
         empty = np.flatnonzero(counts == 0)
         if len(empty):
-            centres[empty] = sample[np.argsort(near.max(axis=1))[:len(empty)]]
+            centres[empty] = sample[np.argsort(best)[:len(empty)]]
     return centres
 
 
+def _pieces(rows: int, width: int) -> Iterator[slice]:
+    """Runs of rows that have at most about ``SCORES`` values of ``width`` each."""
+    step = max(1, SCORES // max(1, width))
+    for start in range(0, rows, step):
+        yield slice(start, min(start + step, rows))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     dims = len(column[0])
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
@@ -104,6 +127,33 @@ def _ranked(rotated: np.ndarray, centres: np.ndarray, count: int) -> np.ndarray:
     return np.take_along_axis(near, np.argsort(-np.take_along_axis(score, near, 1), axis=1), 1)
 
 
+def _assign(spread: np.ndarray, centres: np.ndarray):
+    """A task that gives each vector its list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in _pieces(batch.num_rows, len(centres)):
+                some = batch.slice(at.start, at.stop - at.start)
+                label = _ranked(_unit(_matrix(some.column(0))) @ spread, centres, 1)[:, 0]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(label.astype(np.int32))], names=["v", "ids", "list"])
+
+    return run
+
+
+def _choose(spread: np.ndarray, centres: np.ndarray, probe: int):
+    """A task that copies each query to its nearest lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in _pieces(batch.num_rows, len(centres) + probe * len(spread)):  # scores, and copies of the vector
+                some = batch.slice(at.start, at.stop - at.start)
+                near = _ranked(_unit(_matrix(some.column(1))) @ spread, centres, probe).astype(np.int32)
+                copy = pa.array(np.repeat(np.arange(some.num_rows), near.shape[1]))
+                yield pa.RecordBatch.from_arrays([some.column(0).take(copy), some.column(1).take(copy), pa.array(near.ravel())], names=["query_id", "v", "list"])
+
+    return run
+
+
 def adaptive_scan(queries: np.ndarray, blocks: list[np.ndarray], keep: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, row) pairs that may be among the ``keep`` nearest rows of each rotated query; ``blocks`` hold the columns."""
     rows = blocks[0].shape[0]
@@ -209,31 +259,17 @@ def nearest(
     )
     distinct = written(distinct, "distinct")
     lists = lists or int(min(MAX_LISTS, max(1, 2 * count ** 0.5)))
-    sample = _matrix(
-        lowest(distinct.select("v", F.xxhash64("v").alias("h")), "h", lists * SAMPLE_PER_LIST, count).select("v").toArrow().column("v").combine_chunks()
-    )
-    spread = rotation(sample.shape[1])
-    sample = _unit(sample) @ spread
+    picked = lowest(distinct.select("v", F.xxhash64("v").alias("h")), "h", lists * SAMPLE_PER_LIST, count).select("v").toArrow().column("v")
+    spread = rotation(len(picked[0]))
+    sample = _sampled(picked, spread)
+    del picked
     lists = min(lists, len(sample))
     centres = fit_centres(sample, lists)
     probe = min(lists, probe or max(MIN_PROBE, int(lists * PROBE_SHARE)))
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                label = _ranked(_unit(_matrix(batch.column(0))) @ spread, centres, 1)[:, 0]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(label.astype(np.int32))], names=["v", "ids", "list"])
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                near = _ranked(_unit(_matrix(batch.column(1))) @ spread, centres, probe).astype(np.int32)
-                at = pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(near.ravel())], names=["query_id", "v", "list"])
-
-    index = written(distinct.select("v", "ids").mapInArrow(assign, f"v array<double>, ids array<{id_type}>, list int"), "index")
+    index = written(distinct.select("v", "ids").mapInArrow(_assign(spread, centres), f"v array<double>, ids array<{id_type}>, list int"), "index")
     asked = base.join(queries.select(F.col(id_col).alias("vec_id")).distinct(), "vec_id", "left_semi")
-    probed = written(asked.select(F.col("vec_id").alias("query_id"), "v").mapInArrow(choose, f"query_id {id_type}, v array<double>, list int"), "probes")
+    probed = written(asked.select(F.col("vec_id").alias("query_id"), "v").mapInArrow(_choose(spread, centres, probe), f"query_id {id_type}, v array<double>, list int"), "probes")
     parts = index.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("a"))
     query_parts = probed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_PART).cast("int").alias("b"))
     grid = F.broadcast(parts.join(query_parts, "list"))  # at most MAX_LISTS rows

@@ -242,6 +242,49 @@ def test_adaptive_scan_finds_what_a_full_scan_finds():
     assert hits >= 0.98 * 240
 
 
+def test_centres_are_fitted_without_a_matrix_of_all_scores():
+    """Rows are scored piece by piece: the driver holds the sample, not a value for each row and centre."""
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    sample = ann._unit(rng.standard_normal((40_000, 8)))
+    sample[1_000:2_000] = sample[0]  # equal centres of these stay empty
+    tracemalloc.start()
+    centres = ann.fit_centres(sample, 1_000, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # all scores are 320 MB
+    whole, moved = sample[np.random.default_rng(7).choice(len(sample), 1_000, replace=False)], 0
+    for _ in range(2):
+        near = sample @ whole.T - (whole * whole).sum(axis=1) / 2
+        label = near.argmax(axis=1)
+        counts = np.bincount(label, minlength=1_000)
+        sums = np.zeros_like(whole)
+        np.add.at(sums, label, sample)
+        whole = sums / np.maximum(counts, 1)[:, None]
+        empty = np.flatnonzero(counts == 0)
+        moved += len(empty)
+        whole[empty] = sample[np.argsort(near.max(axis=1))[:len(empty)]]
+    assert moved and np.allclose(centres, whole)
+
+
+def test_a_batch_of_queries_is_copied_to_its_lists_piece_by_piece(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    vectors, spread = rng.standard_normal((500, 8)), ann.rotation(8)
+    centres = ann.fit_centres(ann._unit(vectors) @ spread, 40)
+    column = pa.array(list(vectors), pa.list_(pa.float64()))
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(500)), column], names=["vec_id", "v"]).slice(3, 400)]
+    indexed = [pa.RecordBatch.from_arrays([column, pa.array([[i] for i in range(500)])], names=["v", "ids"]).slice(3, 400)]
+    whole = [pa.Table.from_batches(task(b)) for task, b in ((ann._choose(spread, centres, 20), batches), (ann._assign(spread, centres), indexed))]
+    assert [len(t) for t in whole] == [400 * 20, 400] and whole[1].column("ids").to_pylist() == [[i] for i in range(3, 403)]
+    monkeypatch.setattr(ann, "SCORES", 2_000)
+    copies, labels = list(ann._choose(spread, centres, 20)(batches)), list(ann._assign(spread, centres)(indexed))
+    assert len(copies) > 1 and max(len(b) for b in copies) * 8 <= 2_000 and max(len(b) for b in labels) * 40 <= 2_000
+    assert pa.Table.from_batches(copies).equals(whole[0]) and pa.Table.from_batches(labels).equals(whole[1])
+
+
 # ---- n-gram join ----------------------------------------------------------------------------------------
 
 
