@@ -46,7 +46,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 # The source leaves out files that are older by this than the newest one; its default of a week would lose copies that keep
-# their old times. The price: the names of all files of this span are remembered on the driver (some 200 bytes each).
+# their old times. The price: the names of all files a stream has read are remembered on the driver (some 200 bytes each): a few
+# for each batch, or, where it lists the folder itself, all.
 MAX_FILE_AGE = "36500d"
 _READER = {"multiLine": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
 
